@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import map_dump
@@ -22,13 +22,15 @@ def tables_like(records: DataFrame, text: str) -> DataFrame:
 
 
 def listed_columns(envelopes: DataFrame, names: Sequence[str] = LISTED_NAMES) -> DataFrame:
-    """Cells of DML rows (before on DELETE, else after) whose name contains one of the texts."""
+    """Cells of DML rows (before on DELETE, else after) whose name contains one of the texts.
+
+    The filter runs inside the array, so cells of no interest are never exploded.
+    """
     rows = expand_rows(dml_only(envelopes))
     image = F.when(F.col("event_type") == "DELETE", F.col("before")).otherwise(F.col("after"))
-    wanted = F.lit(False)
-    # The filter runs inside the array, so cells of no interest are never exploded.
-    def named(cell):
-        hit = wanted
+
+    def named(cell: Column) -> Column:
+        hit = F.lit(False)
         for name in names:
             hit = hit | cell["name"].contains(name)
         return hit
@@ -84,18 +86,16 @@ def watched_values(
 
 def image_cells(records: DataFrame, *keep: str) -> DataFrame:
     """The ``cur`` and ``src`` maps in long form: side, name, value."""
-    sides = F.concat(
-        *[
-            F.transform(
-                F.coalesce(F.map_entries(side), F.array()),
-                lambda kv, s=side: F.struct(
-                    F.lit(s).alias("side"), kv["key"].alias("name"), kv["value"].alias("value")
-                ),
-            )
-            for side in ("cur", "src")
-        ]
+    return records.select(*keep, F.inline(F.concat(_side_cells("cur"), _side_cells("src"))))
+
+
+def _side_cells(side: str) -> Column:
+    return F.transform(
+        F.coalesce(F.map_entries(side), F.array()),
+        lambda kv: F.struct(
+            F.lit(side).alias("side"), kv["key"].alias("name"), kv["value"].alias("value")
+        ),
     )
-    return records.select(*keep, F.inline(sides))
 
 
 def null_audit(records: DataFrame) -> DataFrame:

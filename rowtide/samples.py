@@ -140,3 +140,84 @@ def fetch_log(events: DataFrame) -> DataFrame:
         "cast(length(props) as bigint) as n_bytes",
         "event_id + 1 + user_id % 5 - if(event_id % 17 = 0, 10, 0) as latest_offset",
     )
+
+
+def _meta_entry(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in fields.items()) + ")"
+
+
+def job_configs(customer: DataFrame) -> DataFrame:
+    """One routing document per customer, in the three layouts; every fourth repeats a table."""
+    table = "concat('t_', c_custkey % 7)"
+    database = "concat('db_', c_nationkey)"
+    none = "cast(null as string)"
+    first = _meta_entry(
+        dbname=database, tablename=table, primarykey="'id,name'", sourceType="'02'",
+        topic="concat('topic_', c_custkey % 5)", sensitive="'phone,,email'",
+    )
+    second = _meta_entry(
+        dbname=database, tablename="concat('u_', c_custkey % 3)", primarykey="'id, no,,'",
+        sourceType="'03'", topic="'topic_u'", sensitive=none,
+    )
+    again = _meta_entry(
+        dbname=database, tablename=table, primarykey="'code'", sourceType="'04'",
+        topic="'topic_late'", sensitive=none,
+    )
+    meta = f"if(c_custkey % 4 = 0, array({first}, {second}, {again}), array({first}, {second}))"
+    return customer.selectExpr("c_custkey", f"{meta} as meta").selectExpr(
+        "concat('job_', c_custkey) as job",
+        "case c_custkey % 3 "
+        "when 0 then to_json(named_struct('data', named_struct('db_tab_meta', meta))) "
+        "when 1 then to_json(named_struct('db_tab_meta', meta)) else to_json(meta) end as config",
+    )
+
+
+def sensitive_documents(customer: DataFrame) -> DataFrame:
+    """One sensitive-field document per customer; some entries name no fields."""
+    entry = _meta_entry(
+        dbname="concat('db_', c_nationkey)", tablename="concat('t_', c_custkey % 7)",
+        sensefield="if(c_custkey % 5 = 0, null, concat('phone,,f_', c_custkey % 9, ','))",
+    )
+    return customer.selectExpr(
+        "concat('job_', c_custkey) as job",
+        "to_json(named_struct('info', named_struct('content', "
+        f"named_struct('db_tab_meta', array({entry}))))) as config",
+    )
+
+
+def position_texts(customer: DataFrame) -> DataFrame:
+    """One position text per customer; some are empty or malformed."""
+    return customer.selectExpr(
+        "concat('job_', c_custkey) as job",
+        "case c_custkey % 10 when 0 then '' when 1 then 'bad:1:2' when 2 then 'changes:0:5:1:2:' "
+        "else concat_ws(':', 'changes', c_custkey % 4, c_custkey * 10, c_custkey, "
+        "c_custkey % 20, c_custkey * 3) end as position",
+    )
+
+
+def stored_events(events: DataFrame) -> DataFrame:
+    """The event table as stored message bytes; a few are empty."""
+    return events.selectExpr(
+        "event_id as event_row",
+        "cast(if(event_id % 997 = 500, '', props) as binary) as event_bytes",
+    )
+
+
+def json_messages(records: DataFrame) -> DataFrame:
+    """The records as JSON changes; every other message carries its data as escaped text."""
+    data = (
+        "named_struct('schema', db, 'table', tab, 'operation', opt, 'fields', cur)"
+    )
+    return records.selectExpr(
+        "src_partition",
+        "src_offset",
+        "row_no",
+        "cast(cus['dmlts'] as bigint) as execute_time",
+        f"if(src_offset % 4 = 0, to_json(named_struct('data', to_json({data}))), "
+        f"to_json(named_struct('data', {data}))) as value",
+    )
+
+
+def watch_list(part: DataFrame) -> DataFrame:
+    """Watched product ids: those of large parts."""
+    return part.where("p_size > 40").selectExpr("cast(p_partkey as string) as value")

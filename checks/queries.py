@@ -654,7 +654,7 @@ def k2_stored_entries(spark, sf_dir):
 @_query
 def k3_positions(spark, sf_dir):
     log = _log(spark, sf_dir)
-    numbered = O.number_envelopes(P.routed_envelopes(log, _routes(spark), HELD))
+    numbered = P.numbered_images(log, _routes(spark), HELD)
     return SP.positions_as_text(next_positions(log, numbered, None)).select(
         "src_partition", "last_batch_id", "last_in_id", "position"
     )

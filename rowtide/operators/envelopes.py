@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions import cells as C
 from rowtide.operators.ordering import is_end
-from rowtide.operators.records import business_key, current_cells, source_cells
+from rowtide.operators.records import current_cells, source_cells
 
 
 def _is_ddl() -> Column:
@@ -40,7 +40,6 @@ def envelope_records(envelopes: DataFrame, ts: Column) -> DataFrame:
     staged = envelopes.withColumns(
         {
             "event_type": _event_type(),
-            "key_columns": F.array().cast("array<string>"),
             "before": F.coalesce(last["before"], C.no_cells()),
             "after": F.coalesce(last["after"], C.no_cells()),
         }
@@ -59,8 +58,7 @@ def envelope_records(envelopes: DataFrame, ts: Column) -> DataFrame:
         ts.cast("bigint").alias("ts"),
         _ddl_text().alias("ddl"),
         F.lit("").alias("err"),
-        F.when(mapped, C.cells_map(source_cells(event_type), "empty")).alias("src"),
-        F.when(mapped, C.cells_map(current_cells(event_type), "empty")).alias("cur"),
+        *_mapped_images(mapped, event_type),
         C.null_map().alias("cus"),
     )
 
@@ -114,8 +112,7 @@ def last_row_per_key(routed: DataFrame, ts: Column, on_missing_key: str = "fail"
         C.operation_label(event_type).alias("opt"),
         ts.cast("bigint").alias("ts"),
         "ddl",
-        F.when(mapped, C.cells_map(source_cells(event_type), "empty")).alias("src"),
-        F.when(mapped, C.cells_map(current_cells(event_type), "empty")).alias("cur"),
+        *_mapped_images(mapped, event_type),
     )
 
 
@@ -231,5 +228,13 @@ def _bracketed(texts: Column) -> Column:
     return F.concat(F.lit("["), joined, F.lit("]"))
 
 
+def _mapped_images(mapped: Column, event_type: Column) -> list[Column]:
+    before, after = F.col("before"), F.col("after")
+    return [
+        F.when(mapped, C.cells_map(source_cells(event_type, before), "empty")).alias("src"),
+        F.when(mapped, C.cells_map(current_cells(event_type, before, after), "empty")).alias("cur"),
+    ]
+
+
 def _ddl_text() -> Column:
     return F.when(_is_ddl(), F.coalesce("row_change.sql", F.lit(""))).otherwise(F.lit(""))

@@ -33,7 +33,8 @@ def with_chunks(df: DataFrame, widths: Sequence[int] = DEFAULT_WIDTHS) -> DataFr
         df = df.withColumn(CHUNK, _chunk_of(OFFSET, widths[0]))
     if ROW_COUNT not in df.columns and "row_change" in df.columns:
         is_ddl = F.coalesce(F.col("row_change.is_ddl"), F.lit(False))
-        rows = F.greatest(F.size("row_change.row_datas"), F.lit(0))
+        # One side of the rows is enough to count them, so the scan skips the other.
+        rows = F.greatest(F.size("row_change.row_datas.before"), F.lit(0))
         df = df.withColumn(
             ROW_COUNT, F.when(is_ddl, F.lit(0)).otherwise(F.coalesce(rows, F.lit(0)))
         )
@@ -202,16 +203,18 @@ def number_envelopes(
     An envelope takes the current pair; after an ending one the batch steps on and the position
     in it returns to 0. ``first_mid`` is the record id of the envelope's first row.
     """
+    is_ddl = F.col("is_ddl" if "is_ddl" in routed.columns else "row_change.is_ddl")
+    ends = is_end(F.col("entry_type"), is_ddl)
     df = running_before(
         with_chunks(routed, widths),
         [PARTITION],
         OFFSET,
         sums={
             ORDINAL: F.lit(1).cast("bigint"),
-            "_ends": is_end(F.col("entry_type"), F.col("row_change.is_ddl")).cast("bigint"),
+            "_ends": ends.cast("bigint"),
             "_rows": F.col(ROW_COUNT).cast("bigint"),
         },
-        mark=("_since", is_end(F.col("entry_type"), F.col("row_change.is_ddl"))),
+        mark=("_since", ends),
         widths=widths,
         chunk=CHUNK if widths else None,
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions import cells as C
 from rowtide.options import ConvertOptions
-from rowtide.schemas import RECORD_FIELDS
+from rowtide.schemas import RECORD_FIELDS, TEXT_LIST
 
 # Names in the custom map of a record.
 CUSTOM_TIME = "dmlts"
@@ -37,55 +37,122 @@ def drop_sensitive(rows: DataFrame) -> DataFrame:
     )
 
 
-def source_cells(event_type: Column) -> Column:
+def source_cells(event_type: Column, before: Column) -> Column:
     """Cells of the ``src`` image: all before columns of UPDATE and DELETE."""
-    return F.when(event_type.isin("UPDATE", "DELETE"), F.col("before")).otherwise(C.no_cells())
-
-
-def current_cells(event_type: Column, update_image: str = "changed") -> Column:
-    """Cells of the ``cur`` image: after columns, or the primary key of a deleted row."""
-    changed = F.col("after")
+    return F.when(event_type.isin("UPDATE", "DELETE"), before).otherwise(C.no_cells())
+
+
+def current_cells(
+    event_type: Column,
+    before: Column,
+    after: Column,
+    key_columns: Column | None = None,
+    update_image: str = "changed",
+) -> Column:
+    """Cells of the ``cur`` image: after columns, or the primary key of a deleted row.
+
+    With 'changed', an update shows only the columns that changed or belong to the primary or
+    the business key.
+    """
+    changed = after
     if update_image == "changed":
-        keys = F.coalesce("key_columns", F.array().cast("array<string>"))
+        keys = F.array().cast(TEXT_LIST) if key_columns is None else key_columns
+        keys = F.coalesce(keys, F.array().cast(TEXT_LIST))
         changed = F.filter(
-            "after",
-            lambda cell: cell["updated"]
-            | cell["is_key"]
-            | F.array_contains(keys, cell["name"]),
+            after,
+            lambda cell: cell["updated"] | cell["is_key"] | F.array_contains(keys, cell["name"]),
         )
     return (
-        F.when(event_type == "INSERT", F.col("after"))
-        .when(event_type == "DELETE", F.filter("before", lambda cell: cell["is_key"]))
+        F.when(event_type == "INSERT", after)
+        .when(event_type == "DELETE", F.filter(before, lambda cell: cell["is_key"]))
         .when(event_type == "UPDATE", changed)
         .otherwise(C.no_cells())
     )
 
 
-def business_key(event_type: Column) -> Column:
+def business_key(
+    event_type: Column, before: Column, after: Column, key_columns: Column
+) -> Column:
     """Values of the key columns in row order, joined with U+0001; null when none is found."""
     image = (
-        F.when(event_type == "DELETE", F.col("before"))
-        .when(event_type.isin("INSERT", "UPDATE"), F.col("after"))
+        F.when(event_type == "DELETE", before)
+        .when(event_type.isin("INSERT", "UPDATE"), after)
         .otherwise(C.no_cells())
     )
-    return F.when(
-        F.size("key_columns") > 0, C.joined_key(C.key_cells(image, F.col("key_columns")))
-    )
+    return F.when(F.size(key_columns) > 0, C.joined_key(C.key_cells(image, key_columns)))
 
 
-def add_images(rows: DataFrame, options: ConvertOptions) -> DataFrame:
-    """Add the ``src`` and ``cur`` maps and the business ``key``."""
-    event_type = F.col("event_type")
-    current = C.cells_map(current_cells(event_type, options.update_image), options.null_mode)
+def _image_columns(
+    event_type: Column, before: Column, after: Column, options: ConvertOptions
+) -> dict[str, Column]:
+    keys = F.col("key_columns")
+    current = C.cells_map(
+        current_cells(event_type, before, after, keys, options.update_image), options.null_mode
+    )
     if options.update_image == "none":
         current = F.when(event_type == "UPDATE", C.null_map()).otherwise(current)
-    return rows.withColumns(
+    return {
+        "src": C.cells_map(source_cells(event_type, before), options.null_mode),
+        "cur": current,
+        "key": business_key(event_type, before, after, keys),
+    }
+
+
+def add_images(rows: DataFrame, options: ConvertOptions) -> DataFrame:
+    """Add the ``src`` and ``cur`` maps and the business ``key`` to expanded rows."""
+    images = _image_columns(F.col("event_type"), F.col("before"), F.col("after"), options)
+    return rows.withColumns(images).drop("before", "after")
+
+
+def fold_images(envelopes: DataFrame, options: ConvertOptions) -> DataFrame:
+    """The images of all rows of an envelope as one array, in place of its row change.
+
+    Done before the ordered steps, so that their shuffle moves the maps that are sent and not
+    the full cells; envelopes without a topic, and DDL, keep no rows.
+    """
+    wanted = F.col("topic").isNotNull() & ~F.coalesce(F.col("row_change.is_ddl"), F.lit(False))
+
+    def visible(cells: Column) -> Column:
+        cells = F.coalesce(cells, C.no_cells())
+        if not options.drop_sensitive:
+            return cells
+        hidden = F.col("sensitive")
+        return F.when(F.size(hidden) > 0, C.without(cells, hidden)).otherwise(cells)
+
+    rows = F.transform(
+        "row_change.row_datas",
+        lambda row: F.struct(
+            visible(row["before"]).alias("before"), visible(row["after"]).alias("after")
+        ),
+    )
+    staged = envelopes.withColumns(
         {
-            "src": C.cells_map(source_cells(event_type), options.null_mode),
-            "cur": current,
-            "key": business_key(event_type),
+            "_rows": F.when(wanted, rows),
+            "event_type": F.col("row_change.event_type"),
+            "is_ddl": F.coalesce("row_change.is_ddl", F.lit(False)),
         }
-    ).drop("before", "after")
+    )
+    event_type = F.col("event_type")
+    images = F.transform(
+        "_rows",
+        lambda row: F.struct(
+            *[
+                column.alias(name)
+                for name, column in _image_columns(
+                    event_type, row["before"], row["after"], options
+                ).items()
+            ]
+        ),
+    )
+    return staged.withColumn("images", images).drop("_rows", "row_change", "tx_begin", "tx_end")
+
+
+def unfold_images(envelopes: DataFrame) -> DataFrame:
+    """One row per image of ``fold_images``, in order (``row_no`` from 0)."""
+    kept = [c for c in envelopes.columns if c != "images"]
+    return envelopes.select(*kept, F.posexplode("images").alias("row_no", "_image")).select(
+        *kept, "row_no", "_image.*"
+    )
 
 
 def resolve_missing_key(rows: DataFrame, mode: str, ts: Column) -> DataFrame:

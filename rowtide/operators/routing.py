@@ -23,14 +23,16 @@ def normalize_routes(raw: DataFrame) -> DataFrame:
     )
 
 
-def route(envelopes: DataFrame, routes: DataFrame, default_topic: str | None = None) -> DataFrame:
-    """Keep envelopes whose ``schema.table`` has a topic; add topic, key columns, sensitive list.
+def with_route(
+    envelopes: DataFrame, routes: DataFrame, default_topic: str | None = None
+) -> DataFrame:
+    """Add topic, key columns and sensitive list of ``schema.table``; null without a route.
 
     The match is exact. ``routes`` has one row per table; there is no broadcast hint, so Spark
     broadcasts it only after checking its size and otherwise joins by key, splitting hot tables.
     With ``default_topic`` an empty route table sends every envelope to that topic.
     """
-    lookup = routes.select(
+    lookup = routes.where(F.col("topic").isNotNull()).select(
         db_table(F.col("dbname"), F.col("tablename")).alias("_db_tab"),
         "topic",
         "key_columns",
@@ -42,12 +44,22 @@ def route(envelopes: DataFrame, routes: DataFrame, default_topic: str | None = N
             F.coalesce("header.schema_name", F.lit("")), F.coalesce("header.table_name", F.lit(""))
         ),
     )
-    if default_topic is None:
-        return keyed.join(lookup.where(F.col("topic").isNotNull()), "_db_tab").drop("_db_tab")
-    configured = routes.where(F.col("topic").isNotNull()).agg(F.count("*").alias("n")).scalar()
-    topic = F.coalesce("topic", F.when(configured == 0, F.lit(default_topic)))
     routed = keyed.join(lookup, "_db_tab", "left").drop("_db_tab")
-    return routed.withColumn("topic", topic).where(F.col("topic").isNotNull())
+    if default_topic is None:
+        return routed
+    configured = lookup.agg(F.count("*").alias("n")).scalar()
+    return routed.withColumn(
+        "topic", F.coalesce("topic", F.when(configured == 0, F.lit(default_topic)))
+    )
+
+
+def has_topic(envelopes: DataFrame) -> DataFrame:
+    return envelopes.where(F.col("topic").isNotNull())
+
+
+def route(envelopes: DataFrame, routes: DataFrame, default_topic: str | None = None) -> DataFrame:
+    """Keep the envelopes that have a topic, with their route."""
+    return has_topic(with_route(envelopes, routes, default_topic))
 
 
 def dml_only(envelopes: DataFrame) -> DataFrame:

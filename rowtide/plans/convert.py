@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import records as R
 from rowtide.operators.ordering import drop_repeats, number_envelopes, with_chunks
-from rowtide.operators.routing import dml_only, route
+from rowtide.operators.routing import dml_only, has_topic, route, with_route
 from rowtide.options import ConvertOptions
 from rowtide.session import prepare_session
 
@@ -46,15 +46,34 @@ def convert(
     ``ts`` is the record time, a parameter rather than the clock so that a rerun gives the same
     records. ``starts`` holds one row per source partition with the values at the checkpoint. With
     'quarantine' the rows without a key stay, with a null key; see ``records.with_key``.
+
+    The result is that of repeat filter, routing, DML filter, expansion, images, numbering and
+    projection in this order. Topics and images are looked up and built first, as they depend on
+    the envelope alone; what counts for the order, the repeat filter before the routing, is kept.
     """
-    ts = ts if isinstance(ts, Column) else F.lit(ts)
-    routed = routed_envelopes(envelopes, routes, options, starts)
-    return records_of(number_envelopes(routed, starts, options.widths), ts, options)
+    numbered = numbered_images(envelopes, routes, options, starts)
+    return records_of(numbered, ts, options)
+
+
+def numbered_images(
+    envelopes: DataFrame,
+    routes: DataFrame,
+    options: ConvertOptions = ConvertOptions(),
+    starts: DataFrame | None = None,
+) -> DataFrame:
+    """Kept, routed and numbered envelopes with the images of their rows."""
+    prepare_session(envelopes.sparkSession)
+    chunked = with_chunks(envelopes, options.widths)
+    folded = R.fold_images(with_route(chunked, routes, options.default_topic), options)
+    if options.drop_repeats:
+        folded = drop_repeats(folded, starts, options.widths)
+    return number_envelopes(has_topic(folded), starts, options.widths)
 
 
 def records_of(
-    numbered: DataFrame, ts: Column, options: ConvertOptions = ConvertOptions()
+    numbered: DataFrame, ts: Column | int, options: ConvertOptions = ConvertOptions()
 ) -> DataFrame:
-    """Records of routed and numbered envelopes."""
-    rows = rows_with_images(numbered, options)
+    """Records of ``numbered_images``."""
+    ts = ts if isinstance(ts, Column) else F.lit(ts)
+    rows = R.unfold_images(numbered)
     return R.to_records(R.resolve_missing_key(rows, options.on_missing_key, ts), ts)

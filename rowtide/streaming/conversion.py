@@ -15,17 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import monitoring as M
-from rowtide.operators.ordering import (
-    PARTITION,
-    drop_repeats,
-    is_end,
-    number_envelopes,
-    with_chunks,
-)
+from rowtide.operators.ordering import PARTITION, is_end
 from rowtide.operators.records import with_key
-from rowtide.operators.routing import ddl_log, route
+from rowtide.operators.routing import ddl_log
 from rowtide.options import ConvertOptions
-from rowtide.plans.convert import records_of
+from rowtide.plans.convert import numbered_images, records_of, routed_envelopes
 from rowtide.schemas import POSITIONS
 from rowtide.session import prepare_session
 from rowtide.sinks.tables import read_positions_before, write_by_topic
@@ -65,12 +59,9 @@ class ConversionJob:
         # The ordered steps and the outputs read the batch several times; the source is read once.
         batch = batch.persist()
         try:
-            kept = with_chunks(batch, self.options.widths)
-            if self.options.drop_repeats:
-                kept = drop_repeats(kept, starts, self.options.widths)
-            routed = route(kept, self.routes, self.options.default_topic)
-            numbered = number_envelopes(routed, starts, self.options.widths)
-            records = records_of(numbered, F.lit(now), self.options)
+            routed = routed_envelopes(batch, self.routes, self.options, starts)
+            numbered = numbered_images(batch, self.routes, self.options, starts)
+            records = records_of(numbered, now, self.options)
             write_by_topic(records, self.path("records", epoch), "overwrite")
             # What follows counts what was written instead of converting again.
             sent = with_key(self._written(spark, records, epoch))
@@ -145,7 +136,7 @@ def next_positions(
             )
         ).alias("_seq"),
     )
-    end = is_end(F.col("entry_type"), F.col("row_change.is_ddl"))
+    end = is_end(F.col("entry_type"), F.col("is_ddl"))
     last = numbered.groupBy(PARTITION).agg(
         F.max_by(
             F.struct(

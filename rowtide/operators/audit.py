@@ -41,8 +41,8 @@ def listed_columns(envelopes: DataFrame, names: Sequence[str] = LISTED_NAMES) ->
         "row_no",
         F.col("header.schema_name").alias("db"),
         F.col("header.table_name").alias("tab"),
-        F.explode(F.filter(image, named)).alias("_cell"),
-    ).select(
+        F.explode_outer(F.filter(image, named)).alias("_cell"),
+    ).where(F.col("_cell").isNotNull()).select(
         "src_partition",
         "src_offset",
         "row_no",
@@ -69,8 +69,9 @@ def watched_values(
     entries = F.filter(F.map_entries("cur"), lambda kv: kv["key"].contains(name))
     return (
         records.select(
-            "src_partition", "src_offset", "row_no", "db", "tab", F.explode(entries).alias("_kv")
+            "src_partition", "src_offset", "row_no", "db", "tab", F.explode_outer(entries).alias("_kv")
         )
+        .where(F.col("_kv").isNotNull())
         .select(
             "src_partition",
             "src_offset",
@@ -86,7 +87,10 @@ def watched_values(
 
 def image_cells(records: DataFrame, *keep: str) -> DataFrame:
     """The ``cur`` and ``src`` maps in long form: side, name, value."""
-    return records.select(*keep, F.inline(F.concat(_side_cells("cur"), _side_cells("src"))))
+    cells = records.select(
+        *keep, F.inline_outer(F.concat(_side_cells("cur"), _side_cells("src")))
+    )
+    return cells.where(F.col("side").isNotNull())
 
 
 def _side_cells(side: str) -> Column:

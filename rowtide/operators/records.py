@@ -15,13 +15,18 @@ CUSTOM_IP = "ip"
 
 
 def expand_rows(envelopes: DataFrame) -> DataFrame:
-    """One row per changed row, in order (``row_no`` from 0); envelopes without rows yield none."""
+    """One row per changed row, in order (``row_no`` from 0); envelopes without rows yield none.
+
+    The outer form is used, here and in the other expansions, because Spark adds a filter on the
+    array's size to the inner one and then computes the array twice.
+    """
     kept = [c for c in envelopes.columns if c not in ("row_change", "tx_begin", "tx_end")]
-    return envelopes.select(
+    rows = envelopes.select(
         *kept,
         F.col("row_change.event_type").alias("event_type"),
-        F.posexplode("row_change.row_datas").alias("row_no", "_row"),
-    ).select(
+        F.posexplode_outer("row_change.row_datas").alias("row_no", "_row"),
+    )
+    return rows.where(F.col("row_no").isNotNull()).select(
         *kept,
         "event_type",
         "row_no",
@@ -150,9 +155,8 @@ def fold_images(envelopes: DataFrame, options: ConvertOptions) -> DataFrame:
 def unfold_images(envelopes: DataFrame) -> DataFrame:
     """One row per image of ``fold_images``, in order (``row_no`` from 0)."""
     kept = [c for c in envelopes.columns if c != "images"]
-    return envelopes.select(*kept, F.posexplode("images").alias("row_no", "_image")).select(
-        *kept, "row_no", "_image.*"
-    )
+    rows = envelopes.select(*kept, F.posexplode_outer("images").alias("row_no", "_image"))
+    return rows.where(F.col("row_no").isNotNull()).select(*kept, "row_no", "_image.*")
 
 
 def resolve_missing_key(rows: DataFrame, mode: str, ts: Column) -> DataFrame:

@@ -99,11 +99,15 @@ def change_log(orders: DataFrame) -> DataFrame:
         f"'schema_name', if({is_row}, 'shop', ''), "
         f"'table_name', if({is_row}, concat('orders_', k % 6), ''), 'event_length', 100 + k % 50, "
         f"'event_type', if({is_row}, event_type, 'UPDATE'), 'props', {no_props}) as header",
-        f"if({is_row}, named_struct('table_id', k % 6, 'event_type', event_type, "
-        "'is_ddl', event_type = 'ALTER', "
-        "'sql', if(event_type = 'ALTER', concat('alter table orders_', k % 6, ' add c', k), ''), "
-        f"'ddl_schema_name', '', 'row_datas', {row_datas}, 'props', {no_props}), null) "
-        "as row_change",
+        # The condition is on the fields, not on the struct: one field is then read without
+        # computing the others.
+        f"named_struct('table_id', if({is_row}, k % 6, null), "
+        f"'event_type', if({is_row}, event_type, null), "
+        f"'is_ddl', if({is_row}, event_type = 'ALTER', null), "
+        f"'sql', if({is_row}, if(event_type = 'ALTER', "
+        "concat('alter table orders_', k % 6, ' add c', k), ''), null), "
+        f"'ddl_schema_name', if({is_row}, '', null), 'row_datas', if({is_row}, {row_datas}, null), "
+        f"'props', {no_props}) as row_change",
         "if(entry_type = 'TRANSACTIONBEGIN', named_struct('execute_time', cast(0 as bigint), "
         f"'transaction_id', '', 'thread_id', k, 'props', {no_props}), null) as tx_begin",
         "if(entry_type = 'TRANSACTIONEND', named_struct('execute_time', cast(0 as bigint), "

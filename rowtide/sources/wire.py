@@ -240,7 +240,8 @@ def _envelope_bytes(row: dict) -> bytes:
         _put_enum(entry.header, "sourceType", row["header"]["source_type"])
         _put_enum(entry.header, "eventType", row["header"]["event_type"])
         _put_pairs(entry.header, row["header"]["props"])
-    if row["row_change"] is not None:
+    kind = row["entry_type"] or "ROWDATA"
+    if kind == "ROWDATA" and row["row_change"] is not None:
         change = message_class("RowChange")()
         values = row["row_change"]
         _put_enum(change, "eventType", values["event_type"])
@@ -257,12 +258,12 @@ def _envelope_bytes(row: dict) -> bytes:
                 for cell in row_data[side] or []:
                     _fill(columns.add(), cell, _CELL)
         entry.storeValue = change.SerializeToString()
-    elif row["tx_begin"] is not None:
+    elif kind == "TRANSACTIONBEGIN" and row["tx_begin"] is not None:
         begin = message_class("TransactionBegin")()
         _fill(begin, row["tx_begin"], {"execute_time": "executeTime",
                                        "transaction_id": "transactionId", "thread_id": "threadId"})
         entry.storeValue = begin.SerializeToString()
-    elif row["tx_end"] is not None:
+    elif kind == "TRANSACTIONEND" and row["tx_end"] is not None:
         end = message_class("TransactionEnd")()
         _fill(end, row["tx_end"], {"execute_time": "executeTime",
                                    "transaction_id": "transactionId"})

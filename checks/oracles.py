@@ -646,5 +646,5 @@ def oracles() -> dict[str, str]:
             FROM records WHERE key IS NOT NULL""",
         "p2_suffix_partitions": """
             SELECT CAST(CASE WHEN o_orderkey % 5 > 1 THEN o_orderkey % 12 ELSE 0 END AS INTEGER) AS partition,
-              count(*) AS messages, CAST(0 AS BIGINT) AS misplaced FROM orders GROUP BY 1""",
+              count(*) AS messages FROM orders GROUP BY 1""",
     }

@@ -397,8 +397,7 @@ def f19_envelope_summary(spark, sf_dir):
 
 @_query
 def f19_last_of_flush(spark, sf_dir):
-    log = _flushed(_log(spark, sf_dir))
-    summaries = V.summarize(log).join(log.select(*PLACE, "flush_no"), list(PLACE))
+    summaries = V.summarize(_flushed(_log(spark, sf_dir)), keep=["flush_no"])
     return V.last_of(summaries, ["src_partition", "flush_no"])
 
 
@@ -682,7 +681,7 @@ def k5_monitor_messages(spark, sf_dir):
 @_query
 def p1_key_partitions(spark, sf_dir):
     keyed = R.with_key(_records(spark, sf_dir)).select("topic", "key")
-    placed = KP.partition_by_key(keyed, 16).select("key", F.spark_partition_id().alias("at"))
+    placed = KP.with_key_partition(keyed, 16).select("key", F.col("partition").alias("at"))
     spread = placed.groupBy("key").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     return spread.agg(
         F.count("*").alias("keys"), F.count_if(F.col("low") != F.col("high")).alias("split_keys")
@@ -695,10 +694,5 @@ def p2_suffix_partitions(spark, sf_dir):
         "case o_orderkey % 5 when 0 then concat('nodot', o_orderkey) "
         "when 1 then concat('.', o_orderkey) else concat('order.', o_orderkey) end as key"
     )
-    placed = KP.partition_by_suffix(orders, 12).select(
-        "partition", F.spark_partition_id().alias("at")
-    )
-    return placed.groupBy("partition").agg(
-        F.count("*").alias("messages"),
-        F.count_if(F.col("at") != F.col("partition")).alias("misplaced"),
-    )
+    placed = KP.with_numeric_partition(orders, 12)
+    return placed.groupBy("partition").agg(F.count("*").alias("messages"))

@@ -7,12 +7,11 @@ from __future__ import annotations
 
 import json
 
-# Fixed value: the record schema as it is published.
+# Fixed value: field names, types and branch order of the record schema as it is published.
 RECORD_AVRO_SCHEMA = json.dumps(
     {
-        "namespace": "protocol.avro",
         "type": "record",
-        "name": "EventEntryAvro",
+        "name": "ChangeRecord",
         "fields": [
             {"name": "mid", "type": "long"},
             {"name": "db", "type": "string"},

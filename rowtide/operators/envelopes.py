@@ -116,12 +116,16 @@ def last_row_per_key(routed: DataFrame, ts: Column, on_missing_key: str = "fail"
     )
 
 
-def summarize(envelopes: DataFrame, row: str = "last") -> DataFrame:
-    """Short description of each envelope: place in the log, table, first column of one row."""
+def summarize(envelopes: DataFrame, row: str = "last", keep: Sequence[str] = ()) -> DataFrame:
+    """Short description of each envelope: place in the log, table, first column of one row.
+
+    ``keep`` names further columns to carry along, such as a flush number.
+    """
     position = _rows() - 1 if row == "last" else F.lit(0)
     cell = F.get(F.get("row_change.row_datas", position)["after"], F.lit(0))
     info = F.concat(cell["name"], F.lit(" ## "), F.coalesce(cell["value"], F.lit("")))
     return envelopes.select(
+        *keep,
         "src_partition",
         "src_offset",
         "entry_type",

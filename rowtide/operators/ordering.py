@@ -45,6 +45,17 @@ def without_chunks(df: DataFrame) -> DataFrame:
     return df.drop(CHUNK, ROW_COUNT)
 
 
+def per_partition(rows: DataFrame, *columns: str) -> Column:
+    """The given columns of the row for the current source partition, as a struct; else null.
+
+    The rows, one per source partition, become one map that is handed to every task. So the log
+    is not joined, which would hash it on so few keys; the map is as long as the topic has
+    partitions.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct(PARTITION, F.struct(*columns))))
+    return F.try_element_at(rows.agg(entries.alias("m")).scalar(), F.col(PARTITION))
+
+
 def running_before(
     items: DataFrame,
     part: Sequence[str],
@@ -107,12 +118,12 @@ class _Fold:
         before = (
             Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         )
-        out = items
-        for name in self.sums:
-            total = F.coalesce(F.sum(f"_i_{name}").over(before), F.lit(0).cast("bigint"))
-            out = out.withColumn(prefix + name, total)
-        for name in self.maxes:
-            out = out.withColumn(prefix + name, F.max(f"_i_{name}").over(before))
+        zero = F.lit(0).cast("bigint")
+        running = {
+            prefix + name: F.coalesce(F.sum(f"_i_{name}").over(before), zero) for name in self.sums
+        }
+        running |= {prefix + name: F.max(f"_i_{name}").over(before) for name in self.maxes}
+        out = items.withColumns(running)
         if self.mark:
             name = self.mark[0]
             reached = F.col(prefix + ORDINAL) + F.col(f"_i_{name}")
@@ -170,19 +181,13 @@ def mark_repeats(
     )
     seen = F.col("_seen")
     if last_kept is not None:
-        start = last_kept.select(
-            PARTITION,
-            F.when(
-                F.col("last_batch_id").isNotNull(),
-                F.struct(
-                    F.col("last_batch_id").alias("batch_id"), F.col("last_in_id").alias("in_id")
-                ),
-            ).alias("_start"),
+        start = per_partition(last_kept, "last_batch_id", "last_in_id")
+        start = F.struct(
+            start["last_batch_id"].alias("batch_id"), start["last_in_id"].alias("in_id")
         )
-        df = df.join(start, PARTITION, "left")
-        seen = F.greatest("_seen", "_start")
+        seen = F.greatest(seen, F.when(start["batch_id"].isNotNull(), start))
     passed = seen.isNull() | (sequence > seen)
-    return df.withColumn("is_repeat", ~passed).drop("_seen", "_start")
+    return df.withColumn("is_repeat", ~passed).drop("_seen")
 
 
 def is_end(entry_type: Column, is_ddl: Column) -> Column:
@@ -218,29 +223,19 @@ def number_envelopes(
         widths=widths,
         chunk=CHUNK if widths else None,
     )
+    zero = F.lit(0).cast("bigint")
+    b0 = i0 = u0 = zero
     if starts is not None:
-        df = df.join(
-            starts.select(
-                PARTITION,
-                F.col("batch_id").alias("_b0"),
-                F.col("in_id").alias("_i0"),
-                F.col("mid").alias("_u0"),
-            ),
-            PARTITION,
-            "left",
-        )
-        b0, i0, u0 = (F.coalesce(F.col(c), F.lit(0)) for c in ("_b0", "_i0", "_u0"))
-    else:
-        b0 = i0 = u0 = F.lit(0).cast("bigint")
-    return (
-        df.withColumn("out_batch_id", b0 + F.col("_ends"))
-        .withColumn(
-            "out_in_id",
-            F.coalesce(F.col(ORDINAL) - F.col("_since"), F.col(ORDINAL) + i0),
-        )
-        .withColumn("first_mid", u0 + F.col("_rows"))
-        .drop(ORDINAL, "_ends", "_rows", "_since", "_b0", "_i0", "_u0")
-    )
+        start = per_partition(starts, "batch_id", "in_id", "mid")
+        b0, i0, u0 = (F.coalesce(start[name], zero) for name in ("batch_id", "in_id", "mid"))
+    place = F.coalesce(F.col(ORDINAL) - F.col("_since"), F.col(ORDINAL) + i0)
+    return df.withColumns(
+        {
+            "out_batch_id": b0 + F.col("_ends"),
+            "out_in_id": place,
+            "first_mid": u0 + F.col("_rows"),
+        }
+    ).drop(ORDINAL, "_ends", "_rows", "_since")
 
 
 def running_row_key(

@@ -135,6 +135,7 @@ def fold_images(envelopes: DataFrame, options: ConvertOptions) -> DataFrame:
             "_rows": F.when(wanted, rows),
             "event_type": F.col("row_change.event_type"),
             "is_ddl": F.coalesce("row_change.is_ddl", F.lit(False)),
+            "sql": F.when(F.col("row_change.is_ddl"), F.col("row_change.sql")),
         }
     )
     event_type = F.col("event_type")

@@ -69,12 +69,13 @@ def dml_only(envelopes: DataFrame) -> DataFrame:
 
 def ddl_log(routed: DataFrame) -> DataFrame:
     """Routed DDL as rows of its SQL text."""
-    return routed.where(F.coalesce(F.col("row_change.is_ddl"), F.lit(False))).select(
+    change = "row_change." if "row_change" in routed.columns else ""
+    return routed.where(F.coalesce(F.col(f"{change}is_ddl"), F.lit(False))).select(
         "src_partition",
         "src_offset",
         F.col("header.schema_name").alias("db"),
         F.col("header.table_name").alias("tab"),
-        F.col("row_change.event_type").alias("event_type"),
-        F.col("row_change.sql").alias("sql"),
+        F.col(f"{change}event_type").alias("event_type"),
+        F.col(f"{change}sql").alias("sql"),
         F.col("header.execute_time").alias("execute_time"),
     )

@@ -27,9 +27,9 @@ def flush_trigger(seconds: float = 1.0) -> dict[str, str]:
     return {"processingTime": f"{seconds:g} seconds"}
 
 
-def partition_by_key(messages: DataFrame, partitions: int) -> DataFrame:
-    """Messages of one key together, in ``partitions`` partitions by the key's hash."""
-    return messages.repartition(partitions, "key")
+def with_key_partition(messages: DataFrame, partitions: int) -> DataFrame:
+    """Add ``partition``: the key's hash modulo ``partitions``, so a key has one partition."""
+    return messages.withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)))
 
 
 def with_numeric_partition(messages: DataFrame, partitions: int) -> DataFrame:
@@ -39,8 +39,10 @@ def with_numeric_partition(messages: DataFrame, partitions: int) -> DataFrame:
     )
 
 
-def partition_by_suffix(messages: DataFrame, partitions: int) -> DataFrame:
-    """Messages placed by ``with_numeric_partition``."""
-    return with_numeric_partition(messages, partitions).repartitionById(
-        partitions, F.col("partition")
-    )
+def write_partitions(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """Messages to Parquet, one folder per topic and partition.
+
+    The partition is a column, not a shuffle: a key that holds a large share of the messages is
+    written by all tasks that have it.
+    """
+    messages.write.mode(mode).partitionBy("topic", "partition").parquet(path)

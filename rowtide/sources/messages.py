@@ -10,7 +10,8 @@ from functools import cache
 
 from rowtide.schemas import ENTRY_TYPES, EVENT_TYPES, SOURCE_TYPES
 
-PACKAGE = "protocol.protobuf"
+# Not part of the wire format, so the name is ours.
+PACKAGE = "rowtide.wire"
 
 # Field numbers, names, types and defaults of the wire format. A leading '*' marks
 # a repeated field; capitalised types are other messages or enums of this list.

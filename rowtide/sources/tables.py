@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.operators.ordering import per_partition
 from rowtide.schemas import ENVELOPE
 
 
@@ -27,9 +28,8 @@ def from_positions(envelopes: DataFrame, positions: DataFrame) -> DataFrame:
     ``positions`` (src_partition, next_offset) has one row per source partition; partitions
     without one are read from the start.
     """
-    start = positions.select("src_partition", F.col("next_offset").alias("_start"))
-    joined = envelopes.join(start, "src_partition", "left")
-    return joined.where(F.col("src_offset") >= F.coalesce("_start", F.lit(0))).drop("_start")
+    start = per_partition(positions, "next_offset")["next_offset"]
+    return envelopes.where(F.col("src_offset") >= F.coalesce(start, F.lit(0)))
 
 
 def from_offset(envelopes: DataFrame, start: int | str = "earliest") -> DataFrame:

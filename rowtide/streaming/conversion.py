@@ -19,7 +19,7 @@ from rowtide.operators.ordering import PARTITION, is_end
 from rowtide.operators.records import with_key
 from rowtide.operators.routing import ddl_log
 from rowtide.options import ConvertOptions
-from rowtide.plans.convert import numbered_images, records_of, routed_envelopes
+from rowtide.plans.convert import numbered_images, records_of
 from rowtide.schemas import POSITIONS
 from rowtide.session import prepare_session
 from rowtide.sinks.tables import read_positions_before, write_by_topic
@@ -56,21 +56,21 @@ class ConversionJob:
         spark = prepare_session(batch.sparkSession)
         now = int(self.clock(epoch))
         starts = self.starts(spark, epoch)
-        # The ordered steps and the outputs read the batch several times; the source is read once.
+        # The ordered steps read the batch several times and every output needs the numbered
+        # envelopes; both are kept, so that the source is read and converted once.
         batch = batch.persist()
+        numbered = numbered_images(batch, self.routes, self.options, starts).persist()
         try:
-            routed = routed_envelopes(batch, self.routes, self.options, starts)
-            numbered = numbered_images(batch, self.routes, self.options, starts)
             records = records_of(numbered, now, self.options)
             write_by_topic(records, self.path("records", epoch), "overwrite")
-            # What follows counts what was written instead of converting again.
+            # What follows counts what was written.
             sent = with_key(self._written(spark, records, epoch))
-            self._write(ddl_log(routed), "ddl", epoch)
-            self._write(self._monitor(routed, sent, now), "monitor", epoch)
-            positions = next_positions(batch, numbered, starts)
+            self._write(ddl_log(numbered), "ddl", epoch)
+            self._write(self._monitor(numbered, sent, now), "monitor", epoch)
             sent_rows = sent.groupBy(PARTITION).agg(F.count("*").alias("sent"))
+            positions = next_positions(batch, numbered, starts).join(sent_rows, PARTITION, "left")
             self._write(
-                positions.join(sent_rows, PARTITION, "left").select(
+                positions.select(
                     F.lit(self.job).alias("job"),
                     *[c for c in POSITIONS.names if c not in ("job", "epoch", "sent", "written_at")],
                     F.coalesce("sent", F.lit(0).cast("bigint")).alias("sent"),
@@ -80,6 +80,7 @@ class ConversionJob:
                 epoch,
             )
         finally:
+            numbered.unpersist()
             batch.unpersist()
 
     def _written(self, spark: SparkSession, records: DataFrame, epoch: int) -> DataFrame:
@@ -90,9 +91,9 @@ class ConversionJob:
     def _write(self, df: DataFrame, table: str, epoch: int) -> None:
         df.write.mode("overwrite").parquet(self.path(table, epoch))
 
-    def _monitor(self, routed: DataFrame, sent: DataFrame, now: int) -> DataFrame:
+    def _monitor(self, numbered: DataFrame, sent: DataFrame, now: int) -> DataFrame:
         """Rows per topic, reported delays and send totals of the flush as monitor records."""
-        flush = routed.withColumn("flush", F.lit(0))
+        flush = numbered.withColumn("flush", F.lit(0))
         rows = sent.groupBy(F.col("topic").alias("name")).agg(F.count("*").alias("value"))
         delay = M.reported_delay(flush, F.lit(now), ["flush"]).select(
             F.col("topic").alias("name"), F.col("reported_delay_ms").alias("value")

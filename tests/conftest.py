@@ -20,7 +20,7 @@ TABLES = "/root/testdata/sf0.001"
 def spark():
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -30,3 +30,15 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield prepare_session(session)
     session.stop()
+
+
+# Compiling code costs far more than running it on a handful of rows. The registered queries and
+# the plan tests keep code generation; the tests on hand-made rows are interpreted.
+COMPILED = {"test_registered_queries", "test_plans"}
+
+
+@pytest.fixture(autouse=True)
+def code_generation(request, spark):
+    compiled = request.module.__name__.split(".")[-1] in COMPILED
+    spark.conf.set("spark.sql.codegen.wholeStage", str(compiled).lower())
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK" if compiled else "NO_CODEGEN")

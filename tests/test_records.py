@@ -12,7 +12,7 @@ from rowtide.operators.routing import ddl_log, route
 from rowtide.plans.convert import routed_envelopes, rows_with_images
 from tests.builders import cell, envelope, envelopes, routes, row
 
-HELD = ConvertOptions(on_missing_key="quarantine")
+HELD = ConvertOptions(on_missing_key="quarantine", widths=())
 ID = cell("id", "7", key=True)
 
 

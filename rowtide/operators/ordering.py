@@ -258,4 +258,4 @@ def _zero_if_unset(name: str) -> Column:
 
 
 def _chunk_of(order: str, width: int) -> Column:
-    return F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    return F.expr(f"cast(`{order}` as bigint) div {width}")

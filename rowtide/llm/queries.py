@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, token_files, warc
+from rowtide.llm import chat, simhash, token_files, warc
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_conversations(table(spark, sf_dir, "conversations"))
 
@@ -33,5 +37,5 @@ def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_snapshots, op8_token_files, op10_warc_ranges)
+    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op8_token_files, op10_warc_ranges)
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, simhash, token_files, warc
+from rowtide.llm import chat, simhash, substrings, token_files, warc
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -31,11 +31,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op8_token_files, op10_warc_ranges)
+    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
 }

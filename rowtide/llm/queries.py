@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, simhash, substrings, token_files, warc
+from rowtide.llm import chat, quality, simhash, substrings, token_files, warc
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -27,6 +27,10 @@ def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
@@ -41,5 +45,5 @@ def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
+    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
 }

@@ -12,6 +12,7 @@ count. Other columns are not read. An empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -31,98 +32,116 @@ from rowtide.llm.shared import file_system, new_file, prepare, shared_folder, st
 MAGIC = b"RTIDS\x01\r\n"
 #: Tokens after which a file is closed, at the end of a document.
 FILE_TOKENS = 2_000_000
-#: Entries each of a worker's two word caches may have; a full one is emptied.
-CACHE = 300_000
+#: Entries of a generation of each of a worker's two word caches.
+CACHE = 250_000
 
 # Precomposed Latin letters, then ASCII marks: such a chunk is its letters in lower case and its
 # marks, each one pre-token. Everything else goes to the tokenizer as it is.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,./:;?|]*)")
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+
+
+class _Recent:
+    """Forgets what has not been used lately: two generations of bounded size."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+
+    def recall(self, keys: set[str]) -> list[str]:
+        """Takes over those of the keys that the older generation has; the rest is returned."""
+        older = self.older
+        found = keys & older.keys()
+        self.known.update((key, older[key]) for key in found)
+        return list(keys - found)
 
 
 class WordEncoder:
-    """Encodes chunks between spaces once and keeps their ids.
+    """Encodes chunks between spaces once and keeps their ids, as little-endian bytes.
 
-    For tokenizers that drop white space and never join across it; ``lower`` says that letters are
-    lower-cased, so that chunks which differ only in case or in closing marks share their parts.
+    For tokenizers that drop white space, lower-case letters and never join across white space;
+    chunks that differ only in case or in closing marks share their parts.
     """
 
-    def __init__(self, path: str, lower: bool = True):
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.lower = lower
-        self.chunks: dict[str, list[int]] = {"": []}
-        self.parts: dict[str, list[int]] = {"": []}
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        self.end = np.array([end_id], self.kind).tobytes()
+        self.chunks, self.parts = _Recent(), _Recent()
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        plain, other = [], []
-        for chunk in new:
-            match = _PLAIN.fullmatch(chunk) if self.lower else None
+        plain, other, parts, chunks = [], [], self.parts.known, self.chunks.known
+        for chunk in self.chunks.recall(new):
+            match = _PLAIN.fullmatch(chunk)
             if match:
                 plain.append((chunk, match[1].lower(), match[2]))
             else:
                 other.append(chunk)
-        parts = self.parts
-        if unseen := list({p for _, a, b in plain for p in (a, b) if p not in parts}):
+        wanted = {p for _, a, b in plain for p in (a, b)}.difference(parts)
+        wanted.discard("")
+        if unseen := self.parts.recall(wanted):
             encoding = self.tokenizer.encode(" ".join(unseen), add_special_tokens=False)
-            for part in unseen:
-                parts[part] = []
-            for token, word in zip(encoding.ids, encoding.word_ids, strict=True):
-                parts[unseen[word]].append(token)
+            ids = self._bytes(encoding.ids)
+            width = len(ids) // max(1, len(encoding.ids))
+            ends = np.cumsum(np.bincount(np.array(encoding.word_ids), minlength=len(unseen))) * width
+            begin = 0
+            for part, end in zip(unseen, ends.tolist(), strict=True):
+                parts[part] = ids[begin:end]
+                begin = end
         for chunk, letters, marks in plain:
-            self.chunks[chunk] = parts[letters] + parts[marks] if marks else parts[letters]
+            chunks[chunk] = parts[letters] + parts[marks] if marks else parts[letters]
         if other:
             coded = self.tokenizer.encode_batch(other, add_special_tokens=False)
             for chunk, encoding in zip(other, coded, strict=True):
-                self.chunks[chunk] = encoding.ids
+                chunks[chunk] = self._bytes(encoding.ids)
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the closing id."""
         cut = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        if len(self.chunks) > CACHE:
-            self.chunks = {"": []}
-        if len(self.parts) > CACHE:
-            self.parts = {"": []}
-        if new := set().union(*cut).difference(self.chunks):
+        self.chunks.turn()
+        self.parts.turn()
+        if new := set().union(*cut).difference(self.chunks.known):
             self._learn(new)
-        known = self.chunks
-        for chunks in cut:
-            ids: list[int] = []
-            add = ids.extend
-            for chunk in chunks:
-                add(known[chunk])
-            yield ids
+        known = self.chunks.known.__getitem__
+        return [b"".join(map(known, chunks)) + self.end for chunks in cut]
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        import os
-
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    """One per worker process, so that what it has learnt serves its later tasks too."""
+    if (path, end_id) not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, end_id] = WordEncoder(path, end_id)
+    return _ENCODERS[path, end_id]
 
 
 def encode_documents(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, n_tokens, crc (of all ids) and ids (little-endian 16 or 32 bits each)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
-        kind = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        encoder = _encoder(tokenizer, end_id)
+        narrow = encoder.kind == "<u2"
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 rows = batch.slice(at, 128)
-                coded = []
-                for ids in encoder.encode(rows.column(1).to_pylist()):
-                    ids.append(end_id)
-                    coded.append(np.array(ids, dtype=kind))
+                coded = encoder.encode(rows.column(1).to_pylist())
+                sizes = [len(ids) // (2 if narrow else 4) for ids in coded]
+                crcs = [zlib.crc32(_ids(ids, narrow).astype("<u4")) for ids in coded]
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
-                        pa.array([len(ids) for ids in coded], pa.int64()),
-                        pa.array([zlib.crc32(ids.astype("<u4")) for ids in coded], pa.int64()),
-                        pa.array([kind == "<u2"] * len(coded), pa.bool_()),
-                        pa.array([ids.tobytes() for ids in coded], pa.binary()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(crcs, pa.int64()),
+                        pa.array([narrow] * len(coded), pa.bool_()),
+                        pa.array(coded, pa.binary()),
                     ],
                     names=["doc_id", "n_tokens", "crc", "narrow", "ids"],
                 )
@@ -141,8 +160,10 @@ def token_counts(encoded: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for narrow, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.bincount(_ids(ids.as_py(), narrow))
+            coded = batch.column(1).to_pylist()
+            for narrow in set(batch.column(0).to_pylist()):
+                kinds = zip(batch.column(0).to_pylist(), coded, strict=True)
+                found = np.bincount(_ids(b"".join(ids for kind, ids in kinds if kind == narrow), narrow))
                 if len(found) > len(total):
                     found[: len(total)] += total
                     total = found
@@ -324,7 +345,8 @@ def read_token_files(files: DataFrame, folder: str, digest: Callable[[np.ndarray
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = files.select("path", "start").repartition("path")
+    tasks = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = files.select("path", "start").repartition(tasks, "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -255,7 +255,8 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bo
         "path", "n_bytes", F.explode(F.expr(f"sequence(0L, n_bytes - 1, {range_bytes}L)")).alias("low")
     )
     ddl = _DDL if payloads else _DDL.rpartition(",")[0]
-    return ranges.repartition("path", "low").mapInArrow(read, ddl)
+    tasks = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return ranges.repartition(tasks, "path", "low").mapInArrow(read, ddl)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

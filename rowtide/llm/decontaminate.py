@@ -6,8 +6,9 @@ the items within its share of the radius: of two fingerprints within the radius
 is that near, so no such item is missed (multi-index Hamming search). Candidates are verified by
 the weighted share of the item's shingles that the window holds.
 
-A window that shares no shingle with the benchmark has similarity zero, so windows are only made
-around shingles that some item has; that test is exact and spares most of the text the rest.
+A window cannot hold more of an item than the shingles in it that occur in the benchmark at all.
+Windows are only made where those weigh enough for the lightest item of the window's length; that
+bound is exact and spares most of the text the rest.
 
 Shingles take five words in lower case without marks (an item of fewer words is one shingle) and
 weigh as much as they have characters. The benchmark goes to the tasks in blocks of ``ITEMS`` items,
@@ -133,6 +134,8 @@ class Index:
             content = Counter(words.shingle(i, size) for i in range(len(hashes)))
             self.content.append(content)
             self.weight.append(sum(len(s) * n for s, n in content.items()))
+        weight = np.array(self.weight, np.int64)
+        self.least = {n: max(1, int(weight[self.sizes == n].min())) for n in set(self.sizes.tolist())}
         self.fps = np.array(fps, np.uint64)
         self.known = {size: np.unique(np.concatenate(h)) for size, h in known.items()}
         self.flags = {}
@@ -185,17 +188,20 @@ class Index:
             if not len(hits):
                 continue
             sums = None
+            held = np.zeros(len(hashes) + 1, np.int64)
+            held[hits + 1] = weights[hits]
+            held = np.cumsum(held)
             for length in np.unique(self.sizes[self.shingle == size]).tolist():
                 span = min(length, n) - size + 1
-                reach = np.zeros(len(hashes) + 1, np.int32)
-                np.add.at(reach, np.maximum(hits - span + 1, 0), 1)
-                np.add.at(reach, hits + 1, -1)
-                windows = np.flatnonzero(np.cumsum(reach[:-1])[: len(hashes) - span + 1] > 0)
+                among = (self.sizes == length) & (self.shingle == size)
+                windows = np.flatnonzero(held[span:] - held[: len(held) - span] >= similarity * self.least[length])
+                if not len(windows):
+                    continue
                 if sums is None:
                     sums = _Sums(hashes, weights, hits, int(min(self.sizes.max(), n)))
                 for at in range(0, len(windows), 4096):
                     some = windows[at : at + 4096]
-                    window, item = self.near_items(sums.fingerprints(some, span), self.sizes == length)
+                    window, item = self.near_items(sums.fingerprints(some, span), among)
                     for w, i in zip(some[window].tolist(), item.tolist(), strict=True):
                         found = self.similarity(words, w, span, size, i)
                         if found >= similarity and found > best.get(i, (0.0,))[0]:

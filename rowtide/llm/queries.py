@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, decontaminate, quality, simhash, substrings, token_files, warc
+from rowtide.llm import chat, decontaminate, html_text, quality, simhash, substrings, token_files, warc
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -31,6 +31,10 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_template_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,5 +53,5 @@ def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
+    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
 }

@@ -35,9 +35,10 @@ FILE_TOKENS = 2_000_000
 #: Entries of a generation of each of a worker's two word caches.
 CACHE = 250_000
 
-# Precomposed Latin letters, then ASCII marks: such a chunk is its letters in lower case and its
-# marks, each one pre-token. Everything else goes to the tokenizer as it is.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,./:;?|]*)")
+# Latin letters, then ASCII marks: such a chunk is its letters and its marks, each one pre-token.
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!#$%&*,./:;?|]+)")
+# A comma or full stop at the end of a chunk that continues a run of marks.
+_RUN = re.compile(r"[.,] (?<![^\W_][.,] )(?<! [.,] )")
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
@@ -63,8 +64,8 @@ class _Recent:
 class WordEncoder:
     """Encodes chunks between spaces once and keeps their ids, as little-endian bytes.
 
-    For tokenizers that drop white space, lower-case letters and never join across white space;
-    chunks that differ only in case or in closing marks share their parts.
+    For tokenizers that compose accents, drop white space, lower-case letters, take runs of letters
+    and of marks as pre-tokens and never join across them.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -78,35 +79,59 @@ class WordEncoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _encode_parts(self, parts: list[str], known: dict[str, bytes]) -> None:
+        """Keeps the ids of pre-tokens, which are encoded in one text."""
+        if not parts:
+            return
+        encoding = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ids = self._bytes(encoding.ids)
+        width = len(ids) // len(encoding.ids)
+        ends = np.cumsum(np.bincount(np.array(encoding.word_ids), minlength=len(parts))) * width
+        begin = 0
+        for part, end in zip(parts, ends.tolist(), strict=True):
+            known[part] = ids[begin:end]
+            begin = end
+
     def _learn(self, new: set[str]) -> None:
-        plain, other, parts, chunks = [], [], self.parts.known, self.chunks.known
+        letters, plain, other, parts, chunks = [], [], [], self.parts.known, self.chunks.known
         for chunk in self.chunks.recall(new):
-            match = _PLAIN.fullmatch(chunk)
-            if match:
-                plain.append((chunk, match[1].lower(), match[2]))
+            if chunk.isalpha() and max(chunk) <= "ÿ":
+                letters.append(chunk)
+            elif match := _PLAIN.fullmatch(chunk):
+                plain.append((chunk, *match.groups()))
             else:
                 other.append(chunk)
+        self._encode_parts(letters, chunks)
         wanted = {p for _, a, b in plain for p in (a, b)}.difference(parts)
-        wanted.discard("")
-        if unseen := self.parts.recall(wanted):
-            encoding = self.tokenizer.encode(" ".join(unseen), add_special_tokens=False)
-            ids = self._bytes(encoding.ids)
-            width = len(ids) // max(1, len(encoding.ids))
-            ends = np.cumsum(np.bincount(np.array(encoding.word_ids), minlength=len(unseen))) * width
-            begin = 0
-            for part, end in zip(unseen, ends.tolist(), strict=True):
-                parts[part] = ids[begin:end]
-                begin = end
-        for chunk, letters, marks in plain:
-            chunks[chunk] = parts[letters] + parts[marks] if marks else parts[letters]
+        self._encode_parts(self.parts.recall(wanted), parts)
+        for chunk, word, marks in plain:
+            chunks[chunk] = parts[word] + parts[marks]
         if other:
             coded = self.tokenizer.encode_batch(other, add_special_tokens=False)
             for chunk, encoding in zip(other, coded, strict=True):
                 chunks[chunk] = self._bytes(encoding.ids)
 
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """Chunks of the text that can be encoded one by one.
+
+        Latin-1 text is lower-cased here, as the tokenizer would, and commas and full stops behind
+        a word are cut off, so that there are fewer chunks to know. No letter of it changes under
+        the tokenizer's composition of accents.
+        """
+        text = text.replace("\n", " ")
+        try:
+            text.isascii() or text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split(" ")
+        text = text.lower()
+        if not _RUN.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the closing id."""
-        cut = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        cut = [self._cut(text or "") for text in texts]
         self.chunks.turn()
         self.parts.turn()
         if new := set().union(*cut).difference(self.chunks.known):

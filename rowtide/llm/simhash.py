@@ -141,7 +141,7 @@ def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, c
     prepare(documents.sparkSession)
     hashed = stage(fingerprints(documents, size))
     distinct = stage(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    links = star_links(shard_entries(distinct.select("fp"), radius, capacity), radius)
+    links = stage(star_links(shard_entries(distinct.select("fp"), radius, capacity), radius))
     roots = components(links).select(F.col("u").alias("fp"), "root")
     rooted = distinct.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

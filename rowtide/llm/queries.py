@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, decontaminate, html_text, mixing, quality, simhash, substrings, token_files, warc
+from rowtide.llm import chat, decontaminate, html_text, mixing, quality, secrets, simhash, substrings, token_files, warc
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -31,6 +31,10 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_findings(table(spark, sf_dir, "documents"))
+
+
 def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,5 +61,5 @@ def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op5_soft_mixing, op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
+    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op4_secret_forest, op5_soft_mixing, op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
 }

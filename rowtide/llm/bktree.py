@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 #: Pairs of a probe and a node that are held at once.
@@ -40,15 +42,19 @@ class Trees:
         order = np.argsort(key)
         self.child, self.child_key = below[order], key[order]
 
-    def components(self, radius: int) -> np.ndarray:
+    def components(self, radius: int, linked: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
         """For each node the smallest node it is linked to, directly or through others of its shard.
 
-        An edge within the radius is a link by itself. A subtree that has only such edges is one
+        Nodes within the radius are linked, if ``linked`` says so of their numbers, where given. An
+        edge within the radius may be a link by itself. A subtree that has only such edges is one
         component, and a probe of that component need not enter it, so a dense cluster costs no
         more than its size.
         """
         n = len(self.fp)
         near = (self.parent >= 0) & (self.edge <= radius)
+        if linked is not None:
+            nodes = np.flatnonzero(near)
+            near[nodes] = linked(nodes, self.parent[nodes])
         label = _settled(np.where(near, self.parent, np.arange(n)))
         mixed = np.zeros(n, dtype=bool)
         for nodes in reversed(self.levels[1:]):
@@ -66,7 +72,11 @@ class Trees:
                 away = np.bitwise_count(self.fp[probe] ^ self.fp[node]).astype(np.int64)
                 hit = (away <= radius) & (label[probe] != label[node])
                 if hit.any():
-                    label = _joined(label, label[probe[hit]], label[node[hit]])
+                    a, b = probe[hit], node[hit]
+                    if linked is not None:
+                        true = linked(a, b)
+                        a, b = a[true], b[true]
+                    label = _joined(label, label[a], label[b])
                 first = np.searchsorted(self.child_key, node * 128 + np.maximum(away - radius, 0))
                 last = np.searchsorted(self.child_key, node * 128 + np.minimum(away + radius, 64), side="right")
                 many = last - first

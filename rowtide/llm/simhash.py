@@ -8,6 +8,12 @@ fingerprints are cut into pieces and every two pieces meet in a tree of their ow
 larger than that and no link is lost. Trees give the components of their shard as stars; the stars
 are joined to components on the cluster.
 
+``one_of_each`` is the same search for a similarity of shingle sets, whose fingerprints differ in more
+bits than blocks can hold. Its shards are the fingerprints whose documents have a certain shingle
+among their few least ones by hash, which sets of that similarity nearly always share; links in the
+radius are verified by the least 128 shingles (all of them, in short documents). A shingle that too
+many documents have among theirs is taken together with the next one.
+
 Nulls and ties: a null text has no words, and a document without words has fingerprint zero, which
 links like any other. Rows without a doc_id get the component of their fingerprint, null if nothing
 in it has an id. Rows that repeat an id each give a row. Other columns are not read. An empty table
@@ -35,6 +41,8 @@ CAPACITY = 16_384
 #: Fingerprints a shard should have on average at most, by which the number of blocks is chosen.
 TYPICAL = 2_048
 _SEED = 42
+#: Least shingle hashes that are kept of a document, and how many of them are shard keys.
+SKETCH, KEYS = 128, 5
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -95,47 +103,81 @@ def shard_entries(distinct: DataFrame, radius: int, capacity: int) -> DataFrame:
     entries = distinct.select(F.explode(F.array(*(F.lit(m) for m in masks))).alias("mask"), "fp").select(
         F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp"
     )
+    return split_shards(entries, capacity)
+
+
+def split_shards(entries: DataFrame, capacity: int) -> DataFrame:
+    """The entries (key, fp and more) with key made shard: of large ones a shard per two pieces."""
+    more = [c for c in entries.columns if c not in ("key", "fp")]
     large = entries.groupBy("key").count().where(F.col("count") > capacity)
     pieces = F.ceil(F.coalesce("count", F.lit(1)) * 2.5 / capacity).cast("int")
-    entries = entries.join(large, "key", "left").select(
-        "key", "fp", F.when(F.col("count").isNull(), 1).otherwise(pieces).alias("pieces")
-    )
-    own = F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces")).cast("int")
-    entries = entries.withColumn("own", own)
-    entries = entries.select(
-        "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
-    )
-    return entries.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp")
+    entries = entries.join(large, "key", "left").withColumn("pieces", F.when(F.col("count").isNull(), 1).otherwise(pieces))
+    entries = entries.withColumn("own", F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces")).cast("int"))
+    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    return entries.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp", *more)
 
 
-def star_links(entries: DataFrame, radius: int) -> DataFrame:
-    """u, v: in every shard each fingerprint with one of its component there."""
+def star_links(entries: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
+    """u, v: in every shard each fingerprint with one of its component there.
 
-    def links(shard: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        label = Trees(shard, fp.view(np.uint64)).components(radius)
+    Above zero, ``similarity`` is asked of the entries' sketches besides.
+    """
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        fp = rows.column("fp").to_numpy()
+        linked = None
+        if similarity:
+            sketches = Sketches(rows.column("sketch").to_pylist())
+            linked = lambda a, b: sketches.similarity(a, b) >= similarity
+        label = Trees(rows.column("shard").to_numpy(), fp.view(np.uint64)).components(radius, linked)
         own = np.flatnonzero(label != np.arange(len(fp)))
         return pa.RecordBatch.from_arrays([pa.array(fp[own]), pa.array(fp[label[own]])], names=["u", "v"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, fps, held = [], [], 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            shards.append(batch.column(0).to_numpy())
-            fps.append(batch.column(1).to_numpy())
-            held += batch.num_rows
-            if held >= 1 << 17:
-                shard, fp = np.concatenate(shards), np.concatenate(fps)
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 1 << 16:
+                rows = pa.Table.from_batches(held)
+                shard = rows.column("shard").to_numpy()
                 cut = int(np.searchsorted(shard, shard[-1]))
                 if cut:
-                    yield links(shard[:cut], fp[:cut])
-                    shard, fp = shard[cut:], fp[cut:]
-                shards, fps, held = [shard], [fp], len(fp)
+                    yield links(rows.slice(0, cut))
+                    rows = rows.slice(cut)
+                held = rows.combine_chunks().to_batches()
         if held:
-            yield links(np.concatenate(shards), np.concatenate(fps))
+            yield links(pa.Table.from_batches(held))
 
     placed = entries.repartition("shard").sortWithinPartitions("shard", "fp")
     return placed.mapInArrow(search, "u long, v long").distinct()
 
 
+class Sketches:
+    """The least shingle hashes of documents, as sorted rows filled up with a value of their own."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.size = np.array([len(s) // 4 for s in sketches])
+        self.rows = np.empty((len(sketches), SKETCH), np.uint64)
+        for i, sketch in enumerate(sketches):
+            n = self.size[i]
+            self.rows[i, :n] = np.frombuffer(sketch, "<u4")
+            self.rows[i, n:] = (1 << 33) + i * SKETCH + np.arange(SKETCH - n)
+
+    def similarity(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Share of common values among the least of both: the Jaccard similarity, exact for full sets."""
+        out = np.empty(len(a))
+        for at in range(0, len(a), 4096):
+            i, j = a[at : at + 4096], b[at : at + 4096]
+            both = np.sort(np.concatenate((self.rows[i], self.rows[j]), axis=1), axis=1)
+            twice = np.concatenate((both[:, 1:] == both[:, :-1], np.zeros((len(i), 1), bool)), axis=1)
+            first = np.concatenate((np.ones((len(i), 1), bool), ~twice[:, :-1]), axis=1)
+            whole = (self.size[i] < SKETCH) & (self.size[j] < SKETCH)
+            least = np.where(whole, 2 * SKETCH, SKETCH)[:, None]
+            counted = first & (np.cumsum(first, axis=1) <= least) & (both < 1 << 32)
+            out[at : at + 4096] = (counted & twice).sum(axis=1) / np.maximum(1, counted.sum(axis=1))
+        return out
+
+
 def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
     prepare(documents.sparkSession)
@@ -149,3 +191,63 @@ def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, c
     return hashed.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def sketched(documents: DataFrame, size: int) -> DataFrame:
+    """Own columns as _d0, _d1, ..., a row number, fp, the sketch and the shard keys with their refined form."""
+    names = documents.columns
+    text = names.index("text")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, sketches, keys, refined = [], [], [], []
+            for value in batch.column(text).cast(pa.string()):
+                hashes = shingle_hashes(value.as_py(), size)
+                fps.append(majority(hashes))
+                least = np.unique(np.unique(hashes)[: 2 * SKETCH] >> np.uint64(32))[:SKETCH].astype(np.uint32)
+                sketches.append(least.tobytes())
+                some = least[: KEYS + 1].astype(np.int64)
+                after = np.append(some[1:], 0)[: len(some)]
+                keys.append(some[:KEYS].tolist())
+                refined.append((some << 31 ^ after)[:KEYS].tolist())
+            added = [
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
+                pa.array(sketches, pa.binary()),
+                pa.array(keys, pa.list_(pa.int64())),
+                pa.array(refined, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "sketch", "keys", "refined"])
+
+    kept = [f"_d{i}" for i in range(len(names))]
+    own = documents.toDF(*kept)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    rows = own.mapInArrow(hashed, f"{fields}, fp long, sketch binary, keys array<long>, refined array<long>")
+    return rows.withColumn("_row", F.monotonically_increasing_id())
+
+
+def one_of_each(
+    documents: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 16, capacity: int = CAPACITY, common: int = 4_000
+) -> DataFrame:
+    """The documents without near copies of that similarity: of each component the least doc_id stays.
+
+    Of rows that share it the first as written stays; where no row of a component has an id, its
+    first row. Own columns come back as they were.
+    """
+    prepare(documents.sparkSession)
+    names = documents.columns
+    rows = stage(sketched(documents, size))
+    doc_id = F.col(f"_d{names.index('doc_id')}").cast("long")
+    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))).alias("first")
+    distinct = stage(rows.groupBy("fp").agg(first))
+    # Rows of one fingerprint are one node; the sketch of its first row stands for all.
+    nodes = distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys", "refined"), "_row")
+    nodes = nodes.select("fp", "sketch", F.explode(F.arrays_zip("keys", "refined")).alias("k"))
+    hot = nodes.groupBy(F.col("k.keys").alias("hot")).count().where(F.col("count") > common).select("hot")
+    keyed = nodes.join(hot, nodes["k.keys"] == hot["hot"], "left").select(
+        F.when(F.col("hot").isNull(), F.col("k.keys")).otherwise(F.col("k.refined")).alias("key"), "fp", "sketch"
+    )
+    links = stage(star_links(split_shards(keyed.dropDuplicates(["key", "fp"]), capacity), radius, similarity))
+    roots = components(links).select(F.col("u").alias("fp"), "root")
+    rooted = distinct.join(roots, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*(F.col(f"_d{i}").alias(name) for i, name in enumerate(names)))

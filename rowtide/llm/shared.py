@@ -48,17 +48,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stage(frame: DataFrame, partition_by: str | None = None) -> DataFrame:
+def stage(frame: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them again: cuts lineage, survives executors."""
     spark = frame.sparkSession
     folder = shared_folder(spark)
-    writer = frame.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(folder)
+    frame.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def drop(staged: DataFrame) -> None:
+    """Delete a table that ``stage`` has made and that nothing will read again."""
+    folders = {path.rpartition("/")[0] for path in staged.inputFiles()}
+    for folder in folders:
+        files, path = file_system(folder)
+        files.delete_dir(path)
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder and the folder's path in it."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else Path(uri).absolute().as_uri())

@@ -24,7 +24,7 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import uuid
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm import bwt
-from rowtide.llm.shared import file_system, new_file, prepare, shared_folder, stage
+from rowtide.llm.shared import drop, file_system, new_file, prepare, shared_folder, stage
 
 LENGTH = 200
 GRAM = 64
 #: Bytes of a slice and of a search; different contexts of a gram beyond which windows are counted singly.
 SLICE_BYTES = 4 << 20
-SEARCH_BYTES = 2 << 20
+SEARCH_BYTES = 1 << 20
 CAPACITY = 6_000
 _PIECE = 1 << 18
 
@@ -141,15 +141,14 @@ def _slice_anchors(texts: list[bytes], length: int, gram: int) -> pa.RecordBatch
 def slices(documents: DataFrame, folder: str, length: int, gram: int) -> DataFrame:
     """Write the slice files; rows slice, h, at, span, and one with a null h for every slice.
 
-    A slice is named by a new random number, so a repeated task leaves files that no row names.
+    A slice is named by the attempt that wrote it, so a repeated task leaves files that no row names.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        TaskContext.get()
-        ids, texts, held = [], [], 0
+        ids, texts, held, names = [], [], 0, itertools.count(TaskContext.get().taskAttemptId() << 20)
 
         def flush() -> pa.RecordBatch:
-            name = uuid.uuid4().int >> 65
+            name = next(names)
             rows = pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], schema=_SLICE)
             with new_file(_slice_path(folder, name)) as out:
                 pq.write_table(rows, out, compression="zstd", use_dictionary=False)
@@ -290,10 +289,11 @@ def single_windows(places: DataFrame, folder: str, length: int) -> DataFrame:
 def removals(documents: DataFrame, folder: str, length: int, gram: int, capacity: int) -> DataFrame:
     """slice, low, high: the runs of places where repeated windows start; a null run for every slice."""
     found = stage(slices(documents, folder, length, gram))
-    marks = found.where("h is null").select("slice", F.col("at").alias("low"), F.col("at").alias("high"))
-    found = found.where("h is not null")
-    repeated = found.groupBy("h").count().where("count > 1").select("h")
-    placed = stage(contexts(found.join(repeated, "h", "left_semi"), folder, length))
+    marks = stage(found.where("h is null").select("slice", F.col("at").alias("low"), F.col("at").alias("high")))
+    grams = found.where("h is not null")
+    repeated = stage(grams.groupBy("h").count().where("count > 1").select("h"))
+    placed = stage(contexts(grams.join(repeated, "h", "left_semi"), folder, length))
+    drop(found)
     distinct = placed.groupBy("h", "cid").agg(F.count("*").alias("n"), F.any_value("data", True).alias("data"))
     distinct = stage(distinct)
     hot = distinct.groupBy("h").count().where(F.col("count") > capacity).select("h")

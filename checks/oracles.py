@@ -260,6 +260,19 @@ numbered AS (
   FROM counted)
 """
 
+# 31 ^ e modulo 2 ^ 32 for the hash of a text.
+_POWERS = " UNION ALL ".join(f"SELECT {e} AS e, {pow(31, e, 1 << 32)} AS p31" for e in range(64))
+
+# The last job of a table counts, and the sensitive lists of all its jobs.
+_REROUTED = """
+rerouted AS (
+  SELECT env.*, j.topic, ['order_key', 'row_no'] AS keys, coalesce(j.sens_, CAST([] AS VARCHAR[])) AS sens FROM env JOIN (
+    SELECT 'orders_' || (c_custkey % 4) AS rtab, 'topic_' || lpad(CAST(max(c_custkey) AS VARCHAR), 9, '0') AS topic,
+      list_distinct(list(CASE c_custkey % 8 WHEN 1 THEN 'quantity' WHEN 5 THEN 'price_cents' END)
+        FILTER (WHERE c_custkey % 8 IN (1, 5))) AS sens_
+    FROM customer GROUP BY 1) AS j ON db || '.' || tab = 'shop.' || j.rtab)
+"""
+
 _FLUSHED = "flushed AS (SELECT *, batch_id // 100 AS flush_no FROM routed)"
 _REPORTED = f"""
 listed AS (
@@ -351,11 +364,14 @@ def oracles() -> dict[str, str]:
                 WHEN requested < earliest THEN earliest ELSE latest END AS clamped,
               CASE WHEN flagged THEN latest ELSE requested END AS older_form FROM e""",
         "s5_range_scan": """
-            WITH e AS (SELECT event_id // 1000 AS scan_no, event_id AS event_row,
-              CASE WHEN event_id % 997 = 500 THEN '' ELSE props END AS event_text FROM events)
-            SELECT scan_no, event_row, event_text FROM e
-            WHERE event_row < coalesce((SELECT min(s.event_row) FROM e s
-              WHERE s.scan_no = e.scan_no AND s.event_text = ''), 9223372036854775807)""",
+            WITH e AS (SELECT event_id AS event_row, CASE WHEN event_id % 997 = 500 THEN NULL
+                WHEN event_id % 499 = 3 THEN '' ELSE props END AS event_text FROM events),
+            begun AS (SELECT *, coalesce(1 + max(event_row) FILTER (WHERE event_text IS NULL) OVER earlier, 0) AS begin_
+              FROM e WINDOW earlier AS (ORDER BY event_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            ended AS (SELECT *, coalesce(sum(ceil((event_row - begin_) / 300.0)) FILTER (WHERE event_text IS NULL)
+                OVER (ORDER BY event_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS scans FROM begun)
+            SELECT CAST(scans AS BIGINT) + (event_row - begin_) // 300 AS scan_no, event_row, event_text
+            FROM ended WHERE event_text IS NOT NULL""",
         "s7_decode_envelopes": f"""{_with(_LOG, _ALL_CELLS)},
             sides AS (
               SELECT src_partition, src_offset, row_no, 'before' AS side, name,
@@ -386,8 +402,20 @@ def oracles() -> dict[str, str]:
             FROM customer WHERE c_custkey % 5 <> 0""",
         "f1_drop_repeats": f"{_ON_LOG} SELECT src_partition, src_offset, batch_id, in_id FROM kept",
         "f1_repeat_counts": f"""{_ON_LOG}
-            SELECT src_partition, count(*) AS envelopes, count(*) FILTER (WHERE is_repeat) AS repeats
-            FROM flagged GROUP BY src_partition""",
+            SELECT 'changes' AS src_topic, src_partition, count(*) AS envelopes,
+              count(*) FILTER (WHERE is_repeat) AS repeats FROM flagged GROUP BY src_partition""",
+        "f1_two_topics": f"""{_ON_LOG}
+            SELECT src_topic, src_partition, src_offset + more AS src_offset, batch_id, in_id
+            FROM kept, (VALUES ('changes', 0), ('more_changes', 3)) AS topics(src_topic, more)""",
+        "n3_two_topics": f"""{_with(_LOG, _NUMBERED.format(source="routed"))}
+            SELECT src_topic, src_partition, src_offset + more AS src_offset, ends AS out_batch_id,
+              place AS out_in_id, first_mid
+            FROM numbered, (VALUES ('changes', 0), ('more_changes', 3)) AS topics(src_topic, more)""",
+        "f2_repeated_routes": f"""{_with(_LOG, _REROUTED)},
+            {_CELLS.format(name="cells", source="rerouted", count="n_emit")}, {_images()}
+            SELECT topic, 'rows' AS part, CAST(sum(n_emit) AS BIGINT) AS n FROM rerouted GROUP BY topic HAVING sum(n_emit) > 0
+            UNION ALL SELECT topic, 'records', CAST(sum(n_emit) AS BIGINT) FROM rerouted GROUP BY topic HAVING sum(n_emit) > 0
+            UNION ALL SELECT topic, 'cells', count(*) FROM images WHERE side = 'cur' GROUP BY topic""",
         "f2_route_filter": f"{_ON_LOG} SELECT src_partition, src_offset, topic FROM routed",
         "f2b_default_topic": f"""{_ON_LOG}
             SELECT 'mysql_all' AS topic, entry_type, count(*) AS envelopes FROM kept GROUP BY ALL""",
@@ -632,7 +660,7 @@ def oracles() -> dict[str, str]:
             p AS (SELECT 'job_' || (src_offset % 3) AS job, src_offset AS epoch, src_partition,
                 'changes:' || src_partition || ':' || (src_offset + 1) || ':' || batch_id || ':' || in_id AS text,
                 make_timestamp((execute_time // 60000) * 60000000) AS minute FROM env)
-            SELECT job, src_partition, strftime(minute, '%Y-%m-%d') AS date,
+            SELECT job, 'changes' AS src_topic, src_partition, strftime(minute, '%Y-%m-%d') AS date,
               strftime(minute, '%H') AS hour, strftime(minute, '%H:%M') AS time,
               arg_max(text, epoch) AS position FROM p GROUP BY job, src_partition, minute""",
         "k5_monitor_messages": f"""{_ON_LOG},
@@ -642,8 +670,14 @@ def oracles() -> dict[str, str]:
             SELECT '{{"id":31102,"jrdw_mark":"job_1","content":' ||
               CAST(to_json(content) AS VARCHAR) || '}}' AS value FROM m""",
         "p1_key_partitions": f"""{_ON_RECORDS}
-            SELECT count(DISTINCT key) AS keys, CAST(0 AS BIGINT) AS split_keys
-            FROM records WHERE key IS NOT NULL""",
+, p31s AS ({_POWERS}),
+            keys_ AS (SELECT key, count(*) AS messages FROM records WHERE key IS NOT NULL GROUP BY key),
+            units AS (SELECT key, messages, unnest(range(0, length(key))) AS place_ FROM keys_),
+            hashed AS (SELECT key, messages, list_sum(list(CAST(unicode(substr(key, CAST(place_ + 1 AS BIGINT), 1)) AS HUGEINT)
+                * CAST(p31 AS HUGEINT))) % 4294967296 AS h
+              FROM units JOIN p31s ON e = length(key) - 1 - place_ GROUP BY key, messages)
+            SELECT key, messages, CAST((CASE WHEN h = 2147483648 THEN 0 WHEN h > 2147483648 THEN 4294967296 - h
+              ELSE h END) % 16 AS INTEGER) AS partition FROM hashed""",
         "p2_suffix_partitions": """
             SELECT CAST(CASE WHEN o_orderkey % 5 > 1 THEN o_orderkey % 12 ELSE 0 END AS INTEGER) AS partition,
               count(*) AS messages FROM orders GROUP BY 1""",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide import VARIANTS, ConvertOptions, convert, prepare_session, samples
+from rowtide.session import tune_session
 from rowtide.functions import text as X
 from rowtide.operators import audit as U
 from rowtide.operators import envelopes as V
@@ -37,6 +38,8 @@ TS = 1_700_000_000_000
 NOW = 1_800_000_000_000
 KEYS = ("order_key", "row_no")
 HELD = ConvertOptions(on_missing_key="quarantine")
+# For what reads no record id.
+UNNUMBERED = HELD.but(numbers=False)
 PLACE = ("src_partition", "src_offset")
 ROW = (*PLACE, "row_no")
 
@@ -53,7 +56,7 @@ def registered() -> dict[str, Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    prepare_session(spark)
+    tune_session(prepare_session(spark))
     # Python workers import the package too; on a cluster it is shipped with --py-files.
     root = str(Path(__file__).resolve().parents[1])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
@@ -95,7 +98,7 @@ def _flushed(routed: DataFrame) -> DataFrame:
 @_query
 def s1_tail_from_position(spark, sf_dir):
     log = _log(spark, sf_dir)
-    half = log.groupBy("src_partition").agg(F.expr("max(src_offset) div 2").alias("next_offset"))
+    half = log.groupBy("src_topic", "src_partition").agg(F.expr("max(src_offset) div 2").alias("next_offset"))
     return ST.from_positions(log, half).select(*PLACE, "batch_id", "in_id")
 
 
@@ -138,7 +141,7 @@ def s4_clamp_offset(spark, sf_dir):
 @_query
 def s5_range_scan(spark, sf_dir):
     stored = samples.stored_events(_table(spark, sf_dir, "events"))
-    return ST.successive_scans(stored, 1000).select(
+    return ST.successive_scans(stored, 300, widths=(1024,)).select(
         "scan_no", "event_row", F.col("event_bytes").cast("string").alias("event_text")
     )
 
@@ -216,10 +219,48 @@ def f1_drop_repeats(spark, sf_dir):
     return O.drop_repeats(_log(spark, sf_dir)).select(*PLACE, "batch_id", "in_id")
 
 
+def _two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log twice: the second topic has the same partitions and offsets between the first's."""
+    log = _log(spark, sf_dir)
+    second = log.withColumn("src_topic", F.lit("more_changes")).withColumn("src_offset", F.col("src_offset") + 3)
+    return log.unionByName(second)
+
+
+@_query
+def f1_two_topics(spark, sf_dir):
+    kept = O.drop_repeats(_two_topics(spark, sf_dir), widths=(512, 8))
+    return kept.select("src_topic", *PLACE, "batch_id", "in_id")
+
+
+@_query
+def n3_two_topics(spark, sf_dir):
+    options = HELD.but(widths=(512,))
+    routed = P.routed_envelopes(_two_topics(spark, sf_dir), _routes(spark), options)
+    return O.number_envelopes(routed, widths=options.widths).select(
+        "src_topic", *PLACE, "out_batch_id", "out_in_id", "first_mid"
+    )
+
+
+@_query
+def f2_repeated_routes(spark, sf_dir):
+    """Routes of several jobs that name the same tables: the last job counts, lists are merged."""
+    entries = samples.repeated_routes(_table(spark, sf_dir, "customer"))
+    routes = SC.job_routes(entries)
+    options = UNNUMBERED.but(drop_repeats=False)
+    direct = P.routed_envelopes(_log(spark, sf_dir), routes, options)
+    records = convert(_log(spark, sf_dir), routes, TS, options)
+    counts = [
+        direct.groupBy("topic").agg(F.sum("row_count").cast("bigint").alias("n")).withColumn("part", F.lit("rows")),
+        records.groupBy("topic").agg(F.count("*").alias("n")).withColumn("part", F.lit("records")),
+        records.groupBy("topic").agg(F.sum(F.size("cur").cast("bigint")).alias("n")).withColumn("part", F.lit("cells")),
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).where("n > 0")
+
+
 @_query
 def f1_repeat_counts(spark, sf_dir):
     flagged = O.mark_repeats(_log(spark, sf_dir))
-    return flagged.groupBy("src_partition").agg(
+    return flagged.groupBy("src_topic", "src_partition").agg(
         F.count("*").alias("envelopes"), F.count_if("is_repeat").alias("repeats")
     )
 
@@ -322,14 +363,14 @@ def f12_business_key(spark, sf_dir):
 
 @_query
 def f13_missing_key(spark, sf_dir):
-    options = HELD.but(on_missing_key="batch_time")
+    options = UNNUMBERED.but(on_missing_key="batch_time")
     records = _records(spark, sf_dir, options)
     return records.where(F.col("key") == str(TS)).select(*ROW, "topic", "key", "opt")
 
 
 @_query
 def f13_quarantine(spark, sf_dir):
-    return R.quarantined(_records(spark, sf_dir)).groupBy("topic", "tab", "opt").agg(
+    return R.quarantined(_records(spark, sf_dir, UNNUMBERED)).groupBy("topic", "tab", "opt").agg(
         F.count("*").alias("rows")
     )
 
@@ -359,7 +400,7 @@ def f14_records_unfiltered_form(spark, sf_dir):
 
 @_query
 def f15_custom_map(spark, sf_dir):
-    return _records(spark, sf_dir).select(
+    return _records(spark, sf_dir, UNNUMBERED).select(
         *ROW, F.col("cus.dmlts").alias("dmlts"), F.col("cus.ip").alias("ip")
     )
 
@@ -403,7 +444,7 @@ def f19_last_of_flush(spark, sf_dir):
 
 @_query
 def f20_readable(spark, sf_dir):
-    return V.readable(_log(spark, sf_dir), F.lit(NOW))
+    return V.readable(_log(spark, sf_dir), F.lit(NOW)).drop("src_topic")
 
 
 @_query
@@ -427,7 +468,7 @@ def n1_n2_batch_numbers(spark, sf_dir):
 
 def _starts(routed: DataFrame) -> DataFrame:
     """Checkpoint values per source partition, taken from the log."""
-    return routed.groupBy("src_partition").agg(
+    return routed.groupBy("src_topic", "src_partition").agg(
         F.max("batch_id").alias("batch_id"),
         F.max("in_id").alias("in_id"),
         F.max("src_offset").alias("mid"),
@@ -552,7 +593,7 @@ def a11_exception_and_host_records(spark, sf_dir):
 
 
 def _sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    records = _records(spark, sf_dir)
+    records = _records(spark, sf_dir, UNNUMBERED)
     messages = SJ.decode_json_changes(samples.json_messages(records))
     delivered = records.where((F.col("src_offset") / 2).cast("bigint") % 50 != 7)
     return C.json_keys(messages, KEYS), C.record_keys(delivered, KEYS)
@@ -560,7 +601,7 @@ def _sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def r1_record_key(spark, sf_dir):
-    keyed = C.record_keys(_records(spark, sf_dir), ("product_id", "return_flag", "order_key"))
+    keyed = C.record_keys(_records(spark, sf_dir, UNNUMBERED), ("product_id", "return_flag", "order_key"))
     return keyed.select(*ROW, "change_key")
 
 
@@ -589,7 +630,7 @@ def r4_capture_counts(spark, sf_dir):
 
 @_query
 def r5_table_probe(spark, sf_dir):
-    return U.tables_like(_records(spark, sf_dir), "_2").select(*ROW, "db", "tab")
+    return U.tables_like(_records(spark, sf_dir, UNNUMBERED), "_2").select(*ROW, "db", "tab")
 
 
 @_query
@@ -606,17 +647,17 @@ def r6_watched_cells(spark, sf_dir):
 @_query
 def r7_watched_values(spark, sf_dir):
     watched = samples.watch_list(_table(spark, sf_dir, "part"))
-    return U.watched_values(_records(spark, sf_dir), watched)
+    return U.watched_values(_records(spark, sf_dir, UNNUMBERED), watched)
 
 
 @_query
 def r8_null_audit(spark, sf_dir):
-    return U.null_audit(_records(spark, sf_dir))
+    return U.null_audit(_records(spark, sf_dir, UNNUMBERED))
 
 
 @_query
 def r9_map_dump(spark, sf_dir):
-    return U.dump_maps(_records(spark, sf_dir))
+    return U.dump_maps(_records(spark, sf_dir, UNNUMBERED))
 
 
 @_query
@@ -647,7 +688,7 @@ def k1_keyed_messages(spark, sf_dir):
 
 @_query
 def k2_stored_entries(spark, sf_dir):
-    return D.readable_entries(_log(spark, sf_dir), F.lit(NOW))
+    return D.readable_entries(_log(spark, sf_dir), F.lit(NOW)).drop("src_topic")
 
 
 @_query
@@ -663,7 +704,7 @@ def k3_positions(spark, sf_dir):
 def k4_position_history(spark, sf_dir):
     positions = _log(spark, sf_dir).select(
         F.concat(F.lit("job_"), (F.col("src_offset") % 3).cast("string")).alias("job"),
-        F.col("src_offset").alias("epoch"),
+        F.col("src_offset").alias("step"),
         "src_topic", "src_partition", (F.col("src_offset") + 1).alias("next_offset"),
         "batch_id", "in_id", F.col("header.execute_time").alias("written_at"),
     )
@@ -680,12 +721,8 @@ def k5_monitor_messages(spark, sf_dir):
 
 @_query
 def p1_key_partitions(spark, sf_dir):
-    keyed = R.with_key(_records(spark, sf_dir)).select("topic", "key")
-    placed = KP.with_key_partition(keyed, 16).select("key", F.col("partition").alias("at"))
-    spread = placed.groupBy("key").agg(F.min("at").alias("low"), F.max("at").alias("high"))
-    return spread.agg(
-        F.count("*").alias("keys"), F.count_if(F.col("low") != F.col("high")).alias("split_keys")
-    )
+    keyed = R.with_key(_records(spark, sf_dir, UNNUMBERED)).select("topic", "key")
+    return KP.with_key_partition(keyed, 16).groupBy("key", "partition").agg(F.count("*").alias("messages"))
 
 
 @_query

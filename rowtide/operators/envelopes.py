@@ -48,6 +48,7 @@ def envelope_records(envelopes: DataFrame, ts: Column) -> DataFrame:
     mapped = (_rows() > 0) & (event_type != "UPDATE")
     schema_name = F.coalesce("header.schema_name", F.lit(""))
     return staged.select(
+        "src_topic",
         "src_partition",
         "src_offset",
         F.lit(0).cast("bigint").alias("mid"),
@@ -198,7 +199,7 @@ def readable(envelopes: DataFrame, now: Column) -> DataFrame:
         .when(F.col("entry_type") == "TRANSACTIONEND", end)
         .when(F.col("entry_type") == "ROWDATA", change)
     )
-    return envelopes.select("src_partition", "src_offset", "entry_type", text.alias("text"))
+    return envelopes.select("src_topic", "src_partition", "src_offset", "entry_type", text.alias("text"))
 
 
 def _columns_text(cells: Column) -> Column:

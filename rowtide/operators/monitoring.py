@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.avro_size import record_size
-from rowtide.operators.ordering import ROW_COUNT, running_before
+from rowtide.operators.ordering import ROW_COUNT, running_before, source_of
 from rowtide.options import DEFAULT_WIDTHS
 
 # Numeric ids of the monitor records by kind.
@@ -32,6 +32,9 @@ OLDER_MONITOR_IDS = {
     "TOPIC_ROWS": 31102,
     "TOPIC_DELAY": 31104,
 }
+# The measures of the records that list several.
+FETCH_MEASURES = ("FETCH_NUM", "FETCH_SIZE", "DELAY_NUM")
+SEND_MEASURES = ("SEND_NUM", "SEND_SIZE", "SEND_TIME", "DELAY_TIME")
 # Name under which the delay of the whole batch is listed among the topics; the choice is ours.
 BATCH_DELAY_NAME = "DELAY_TIMES"
 
@@ -49,18 +52,33 @@ def zero_fill(rows: DataFrame, flush: str, last_flush: Column | None = None) ->
     """Report every topic in each flush from its first one on; silent topics report 0.
 
     ``flush`` counts flushes without gaps. ``last_flush`` defaults to the highest one in ``rows``.
+    A topic's flushes are made block by block, so that no row holds all of them.
     """
     last = last_flush if last_flush is not None else rows.agg(F.max(flush)).scalar()
-    known = (
-        rows.groupBy("topic")
-        .agg(F.min(flush).alias("_first"))
-        .select("topic", F.explode(F.sequence("_first", last)).alias(flush))
-    )
-    return known.join(rows, ["topic", flush], "left").select(
+    known = _every_step(rows.groupBy("topic").agg(F.min(flush).alias("_first")), F.col("_first"), last, flush)
+    return known.drop("_first").join(rows, ["topic", flush], "left").select(
         flush, "topic", F.coalesce("row_num", F.lit(0).cast("bigint")).alias("row_num")
     )
 
 
+#: Steps that one row is expanded to at once.
+_BLOCK = 2_048
+
+
+def _every_step(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """A row for every whole number from first to last: blocks first, then the numbers of each.
+
+    An array holds the blocks of a row or the numbers of a block; the blocks of a year of seconds
+    are 15,400.
+    """
+    ends = df.withColumns({"_low": first.cast("bigint"), "_high": last.cast("bigint")})
+    floor = lambda c: F.floor(F.col(c) / _BLOCK).cast("bigint")
+    blocks = ends.withColumn("_block", F.explode(F.sequence(floor("_low"), floor("_high"))))
+    low = F.greatest("_low", F.col("_block") * _BLOCK)
+    high = F.least("_high", F.col("_block") * _BLOCK + (_BLOCK - 1))
+    return blocks.withColumn(name, F.explode(F.sequence(low, high))).drop("_low", "_high", "_block")
+
+
 def topic_delay(routed: DataFrame, now: Column, by: Sequence[str] = ()) -> DataFrame:
     """Delay of each topic: now minus the execute time of its last envelope."""
     return routed.groupBy(*by, "topic").agg(_last_delay(now).alias("delay_ms"))
@@ -100,53 +118,45 @@ def send_stats(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def fetch_per_minute(fetch_log: DataFrame) -> DataFrame:
     """Messages and bytes fetched per source partition and minute, before any filter."""
+    source = source_of(fetch_log)
     return (
-        fetch_log.groupBy("src_partition", F.window("fetch_ts", "1 minute").alias("_w"))
+        fetch_log.groupBy(*source, F.window("fetch_ts", "1 minute").alias("_w"))
         .agg(F.count("*").alias("fetch_num"), F.sum("n_bytes").alias("fetch_size"))
-        .select("src_partition", F.col("_w.start").alias("minute"), "fetch_num", "fetch_size")
+        .select(*source, F.col("_w.start").alias("minute"), "fetch_num", "fetch_size")
     )
 
 
-def offset_lag(fetch_log: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+def offset_lag(
+    fetch_log: DataFrame, starts: DataFrame | None = None, widths: Sequence[int] = DEFAULT_WIDTHS
+) -> DataFrame:
     """Offset lag at the end of every minute, silent minutes included.
 
     A minute without a fetch keeps the last known offset, at first the start position (column
-    ``start_offset`` of ``starts``, else 0); an offset of 0 or less, or beyond the latest, is no
-    lag. The log is folded to one row per minute before anything is ordered, so the window holds
-    minutes, not messages.
+    ``start_offset`` of ``starts``, else 0); an offset of 0 is not known. One of 0 or less, or
+    beyond the latest, is no lag. The log is folded to one row per minute with a fetch; what was
+    known before and where the next such minute is are running values over chunks of these, and
+    each is then repeated up to the next, so no task or row holds all minutes of a partition.
     """
-    minutes = (
-        fetch_log.groupBy("src_partition", F.window("fetch_ts", "1 minute")["start"].alias("minute"))
-        .agg(
-            F.max("next_offset").alias("_now"),
-            F.max_by("latest_offset", "next_offset").alias("_latest"),
-        )
-    )
-    ticks = (
-        minutes.groupBy("src_partition")
-        .agg(F.min("minute").alias("_from"), F.max("minute").alias("_to"))
-        .select(
-            "src_partition",
-            F.explode(F.expr("sequence(_from, _to, interval 1 minute)")).alias("minute"),
-        )
-    )
-    so_far = Window.partitionBy("src_partition").orderBy("minute")
-    filled = ticks.join(minutes, ["src_partition", "minute"], "left").select(
-        "src_partition",
-        "minute",
-        F.last("_now", ignorenulls=True).over(so_far).alias("_now"),
-        F.last("_latest", ignorenulls=True).over(so_far).alias("last_offset"),
-    )
+    source = source_of(fetch_log)
+    zero = "timestamp_ntz'1970-01-01 00:00:00'"
+    minutes = fetch_log.groupBy(
+        *source, F.expr(f"timestampdiff(MINUTE, {zero}, cast(window(fetch_ts, '1 minute').start as timestamp_ntz))").alias("_at")
+    ).agg(F.max("next_offset").alias("_now"), F.max_by("latest_offset", "next_offset").alias("last_offset"))
+    known = F.when(F.col("_now") != 0, F.struct("_at", "_now"))
+    minutes = running_before(minutes, source, "_at", maxes={"_known": known}, widths=widths)
+    minutes = minutes.withColumn("_back", -F.col("_at"))
+    minutes = running_before(minutes, source, "_back", maxes={"_later": F.col("_back")}, widths=widths)
+    filled = _every_step(minutes, F.col("_at"), F.coalesce(-F.col("_later") - 1, F.col("_at")), "_minute")
     if starts is not None:
-        filled = filled.join(starts.select("src_partition", "start_offset"), "src_partition", "left")
+        filled = filled.join(starts.select(*source, "start_offset"), source, "left")
         start = F.coalesce("start_offset", F.lit(0))
     else:
         start = F.lit(0)
-    now = F.coalesce(F.when(F.col("_now") != 0, F.col("_now")), start)
+    now = F.coalesce(F.when(F.col("_now") != 0, F.col("_now")), F.col("_known._now"), start)
     shown = F.when((now <= 0) | (now > F.col("last_offset")), F.col("last_offset")).otherwise(now)
     return filled.select(
-        "src_partition",
-        "minute",
+        *source,
+        F.expr(f"timestampadd(MINUTE, _minute, {zero})").alias("minute"),
         shown.alias("now_offset"),
         "last_offset",
         (F.col("last_offset") - shown).alias("delay_num"),
@@ -159,12 +169,12 @@ def fetch_totals(
     """Count, bytes and elapsed time of each run of ``every`` messages of a source partition."""
     counted = running_before(
         fetch_log,
-        ["src_partition"],
+        source_of(fetch_log),
         "next_offset",
         sums={"_n": F.lit(1).cast("bigint")},
         widths=widths,
     ).withColumn("run_no", F.floor(F.col("_n") / F.lit(every)).cast("bigint"))
-    return counted.groupBy("src_partition", "run_no").agg(
+    return counted.groupBy(*source_of(fetch_log), "run_no").agg(
         F.count("*").alias("fetch_num"),
         F.sum("n_bytes").alias("fetch_size"),
         F.timestamp_diff("MILLISECOND", F.min("fetch_ts"), F.max("fetch_ts")).alias("elapsed_ms"),

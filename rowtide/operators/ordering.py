@@ -16,13 +16,26 @@ from pyspark.sql import functions as F
 
 from rowtide.options import DEFAULT_WIDTHS
 
+TOPIC = "src_topic"
 PARTITION = "src_partition"
+# Offsets are ordered within a partition of a topic; both name it.
+SOURCE = (TOPIC, PARTITION)
 OFFSET = "src_offset"
 CHUNK = "src_chunk"
 ROW_COUNT = "row_count"
 ORDINAL = "ordinal"
 
 
+def source_of(df: DataFrame) -> list[str]:
+    """The columns that name a source partition; tables of one topic may leave the topic out."""
+    return [name for name in SOURCE if name in df.columns]
+
+
+def _named_topic(df: DataFrame) -> DataFrame:
+    """An envelope without a topic name counts as one of the topic ''; a null would join nothing."""
+    return df.withColumn(TOPIC, F.coalesce(TOPIC, F.lit(""))) if TOPIC in df.columns else df
+
+
 def with_chunks(df: DataFrame, widths: Sequence[int] = DEFAULT_WIDTHS) -> DataFrame:
     """Add the chunk number that later ordered steps share, so that they share one shuffle.
 
@@ -30,7 +43,7 @@ def with_chunks(df: DataFrame, widths: Sequence[int] = DEFAULT_WIDTHS) -> DataFr
     that only counts then never moves the row images.
     """
     if CHUNK not in df.columns and widths:
-        df = df.withColumn(CHUNK, _chunk_of(OFFSET, widths[0]))
+        df = _named_topic(df).withColumn(CHUNK, _chunk_of(OFFSET, widths[0]))
     if ROW_COUNT not in df.columns and "row_change" in df.columns:
         is_ddl = F.coalesce(F.col("row_change.is_ddl"), F.lit(False))
         # One side of the rows is enough to count them, so the scan skips the other.
@@ -41,10 +54,6 @@ def with_chunks(df: DataFrame, widths: Sequence[int] = DEFAULT_WIDTHS) -> DataFr
     return df
 
 
-def without_chunks(df: DataFrame) -> DataFrame:
-    return df.drop(CHUNK, ROW_COUNT)
-
-
 def per_partition(rows: DataFrame, *columns: str) -> Column:
     """The given columns of the row for the current source partition, as a struct; else null.
 
@@ -52,8 +61,9 @@ def per_partition(rows: DataFrame, *columns: str) -> Column:
     is not joined, which would hash it on so few keys; the map is as long as the topic has
     partitions.
     """
-    entries = F.map_from_entries(F.collect_list(F.struct(PARTITION, F.struct(*columns))))
-    return F.try_element_at(rows.agg(entries.alias("m")).scalar(), F.col(PARTITION))
+    keys = source_of(rows)
+    entries = F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), F.struct(*columns))))
+    return F.try_element_at(rows.agg(entries.alias("m")).scalar(), F.struct(*keys))
 
 
 def running_before(
@@ -158,7 +168,7 @@ def drop_repeats(
     """Keep an envelope only if (batch_id, in_id) is above that of every earlier one.
 
     The kept sequence only grows, so the last kept value is the running maximum of all earlier
-    rows of the source partition. ``last_kept`` (src_partition, last_batch_id, last_in_id)
+    rows of the source partition. ``last_kept`` (the source, last_batch_id, last_in_id)
     carries the value over a restart; without it the first envelope always passes.
     """
     return mark_repeats(envelopes, last_kept, widths).where(~F.col("is_repeat")).drop("is_repeat")
@@ -173,7 +183,7 @@ def mark_repeats(
     sequence = F.struct(_zero_if_unset("batch_id"), _zero_if_unset("in_id"))
     df = running_before(
         with_chunks(envelopes, widths),
-        [PARTITION],
+        source_of(envelopes),
         OFFSET,
         maxes={"_seen": sequence},
         widths=widths,
@@ -204,7 +214,7 @@ def number_envelopes(
 ) -> DataFrame:
     """Number kept and routed envelopes: ``out_batch_id``, ``out_in_id`` and ``first_mid``.
 
-    ``starts`` (src_partition, batch_id, in_id, mid) are the values at the checkpoint, 0 without.
+    ``starts`` (the source, batch_id, in_id, mid) are the values at the checkpoint, 0 without.
     An envelope takes the current pair; after an ending one the batch steps on and the position
     in it returns to 0. ``first_mid`` is the record id of the envelope's first row.
     """
@@ -212,7 +222,7 @@ def number_envelopes(
     ends = is_end(F.col("entry_type"), is_ddl)
     df = running_before(
         with_chunks(routed, widths),
-        [PARTITION],
+        source_of(routed),
         OFFSET,
         sums={
             ORDINAL: F.lit(1).cast("bigint"),
@@ -242,13 +252,13 @@ def running_row_key(
     entries: DataFrame,
     order: str,
     start: int = 0,
-    part: Sequence[str] = (PARTITION,),
+    part: Sequence[str] | None = None,
     name: str = "entry_row",
     widths: Sequence[int] = DEFAULT_WIDTHS,
 ) -> DataFrame:
     """Running key of a stored entry table: ``start`` plus the number of earlier envelopes."""
     counted = running_before(
-        entries, part, order, sums={name: F.lit(1).cast("bigint")}, widths=widths
+        _named_topic(entries), source_of(entries) if part is None else part, order, sums={name: F.lit(1).cast("bigint")}, widths=widths
     )
     return counted.withColumn(name, F.col(name) + F.lit(start))
 

@@ -201,6 +201,7 @@ def to_records(rows: DataFrame, ts: Column) -> DataFrame:
         "topic",
         "key",
         *[fields[name].alias(name) for name in RECORD_FIELDS],
+        "src_topic",
         "src_partition",
         "src_offset",
         "row_no",

@@ -9,17 +9,39 @@ from rowtide.functions.text import compact_list, db_table, key_list
 
 
 def normalize_routes(raw: DataFrame) -> DataFrame:
-    """Typed routes from text columns; the comma lists become arrays (see ``schemas.ROUTES``)."""
+    """Typed routes from text columns, one per table; the comma lists become arrays.
+
+    Where a table has several, the last one in the order of ``rank`` counts, see
+    ``one_route_per_table``.
+    """
     def text(name: str):
         return F.col(name) if name in raw.columns else F.lit(None).cast("string")
 
-    return raw.select(
+    typed = raw.select(
         "dbname",
         "tablename",
         "topic",
         text("source_type").alias("source_type"),
         key_list(text("primarykey")).alias("key_columns"),
         compact_list(text("sensitive")).alias("sensitive"),
+        *[F.col(name) for name in ("rank",) if name in raw.columns],
+    )
+    return one_route_per_table(typed)
+
+
+def one_route_per_table(routes: DataFrame) -> DataFrame:
+    """The last route of every ``db.table`` by ``rank``, where there is one, and then by content.
+
+    The sensitive lists of all its routes are merged. Routes that are one per table stay as they
+    are, so this may be applied again.
+    """
+    rank = F.col("rank") if "rank" in routes.columns else F.lit(0)
+    last = F.max(F.struct(rank.alias("rank"), "topic", "source_type", "key_columns"))
+    hidden = F.sort_array(F.array_distinct(F.flatten(F.collect_list("sensitive"))))
+    return (
+        routes.groupBy("dbname", "tablename")
+        .agg(last.alias("_last"), hidden.alias("sensitive"))
+        .select("dbname", "tablename", "_last.topic", "_last.source_type", "_last.key_columns", "sensitive")
     )
 
 
@@ -28,11 +50,12 @@ def with_route(
 ) -> DataFrame:
     """Add topic, key columns and sensitive list of ``schema.table``; null without a route.
 
-    The match is exact. ``routes`` has one row per table; there is no broadcast hint, so Spark
-    broadcasts it only after checking its size and otherwise joins by key, splitting hot tables.
+    The match is exact, and a table has one route, see ``one_route_per_table``. There is no
+    broadcast hint, so Spark broadcasts the routes only after checking their size and otherwise
+    joins by key, splitting hot tables.
     With ``default_topic`` an empty route table sends every envelope to that topic.
     """
-    lookup = routes.where(F.col("topic").isNotNull()).select(
+    lookup = one_route_per_table(routes.where(F.col("topic").isNotNull())).select(
         db_table(F.col("dbname"), F.col("tablename")).alias("_db_tab"),
         "topic",
         "key_columns",

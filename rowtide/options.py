@@ -20,6 +20,8 @@ class ConvertOptions:
     ``on_missing_key``  'fail', 'batch_time' (the text of ``ts``) or 'quarantine'.
     ``drop_repeats``    whether repeats and regressions are dropped first.
     ``default_topic``   topic of every envelope while the route table is empty.
+    ``numbers``         whether batch numbers and record ids are made; audits that read none spare
+                        a scan of the log and the shuffle of its counters.
     ``widths``          chunk widths of the ordered steps, see ``operators.ordering``.
     """
 
@@ -29,6 +31,7 @@ class ConvertOptions:
     on_missing_key: str = "fail"
     drop_repeats: bool = True
     default_topic: str | None = None
+    numbers: bool = True
     widths: tuple[int, ...] = DEFAULT_WIDTHS
 
     def __post_init__(self) -> None:

@@ -12,6 +12,10 @@ from rowtide.options import ConvertOptions
 from rowtide.session import prepare_session
 
 
+#: What ``number_envelopes`` adds; null where the options ask for no numbers.
+NUMBERS = ("out_batch_id", "out_in_id", "first_mid")
+
+
 def routed_envelopes(
     envelopes: DataFrame,
     routes: DataFrame,
@@ -67,6 +71,8 @@ def numbered_images(
     folded = R.fold_images(with_route(chunked, routes, options.default_topic), options)
     if options.drop_repeats:
         folded = drop_repeats(folded, starts, options.widths)
+    if not options.numbers:
+        return has_topic(folded).withColumns({name: F.lit(None).cast("bigint") for name in NUMBERS})
     return number_envelopes(has_topic(folded), starts, options.widths)
 
 

@@ -176,6 +176,19 @@ def job_configs(customer: DataFrame) -> DataFrame:
     )
 
 
+def repeated_routes(customer: DataFrame) -> DataFrame:
+    """Jobs that name the same tables: each customer's one entry of a table of the log, topics by job."""
+    entry = _meta_entry(
+        dbname="'shop'", tablename="concat('orders_', c_custkey % 4)", primarykey="'order_key,row_no'",
+        sourceType="'02'", topic="concat('topic_', lpad(c_custkey, 9, '0'))",
+        sensitive="if(c_custkey % 8 = 1, 'quantity', if(c_custkey % 8 = 5, 'price_cents', null))",
+    )
+    return customer.selectExpr(
+        "concat('job_', lpad(c_custkey, 9, '0')) as job",
+        f"to_json(named_struct('db_tab_meta', array({entry}))) as config",
+    )
+
+
 def sensitive_documents(customer: DataFrame) -> DataFrame:
     """One sensitive-field document per customer; some entries name no fields."""
     entry = _meta_entry(
@@ -200,10 +213,10 @@ def position_texts(customer: DataFrame) -> DataFrame:
 
 
 def stored_events(events: DataFrame) -> DataFrame:
-    """The event table as stored message bytes; a few are empty."""
+    """The event table as stored message bytes; a few rows hold none, a few of length 0."""
     return events.selectExpr(
         "event_id as event_row",
-        "cast(if(event_id % 997 = 500, '', props) as binary) as event_bytes",
+        "cast(if(event_id % 997 = 500, null, if(event_id % 499 = 3, '', props)) as binary) as event_bytes",
     )
 
 

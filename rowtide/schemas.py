@@ -57,20 +57,10 @@ RECORD_BODY = _struct(
 )
 RECORD_FIELDS = tuple(RECORD_BODY.fieldNames())
 
-ROUTES = _struct(
-    dbname=_STRING, tablename=_STRING, topic=_STRING, source_type=_STRING, key_columns=TEXT_LIST,
-    sensitive=TEXT_LIST,
-)
 POSITIONS = _struct(
-    job=_STRING, epoch=_BIGINT, src_topic=_STRING, src_partition=_INT, next_offset=_BIGINT,
+    job=_STRING, step=_BIGINT, src_topic=_STRING, src_partition=_INT, next_offset=_BIGINT,
     last_batch_id=_BIGINT, last_in_id=_BIGINT, batch_id=_BIGINT, in_id=_BIGINT, mid=_BIGINT,
     sent=_BIGINT, written_at=_BIGINT,
 )
-FETCH_LOG = _struct(
-    fetch_ts=T.TimestampNTZType(), src_partition=_INT, next_offset=_BIGINT, n_bytes=_BIGINT,
-    latest_offset=_BIGINT,
-)
 MONITOR = _struct(id=_INT, jrdw_mark=_STRING, content=_STRING)
 JSON_CHANGE = _struct(schema=_STRING, table=_STRING, operation=_STRING, fields=TEXT_MAP)
-STORED_EVENTS = _struct(event_row=_BIGINT, event_bytes=T.BinaryType())
-STORED_ENTRIES = _struct(entry_row=_BIGINT, value=T.BinaryType())

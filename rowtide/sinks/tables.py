@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import position_text
-from rowtide.operators.monitoring import monitor_message
-from rowtide.operators.ordering import PARTITION, running_row_key
+from rowtide.operators.ordering import SOURCE, running_row_key, source_of
 from rowtide.options import DEFAULT_WIDTHS
 
 
@@ -30,31 +29,27 @@ def stored_entries(
 ) -> DataFrame:
     """Entries with their running row key: one row per envelope, in source order."""
     numbered = running_row_key(entries, "src_offset", start, widths=widths)
-    return numbered.select(PARTITION, "entry_row", F.col(value).alias("value"))
+    return numbered.select(*source_of(numbered), "entry_row", F.col(value).alias("value"))
 
 
-def write_stored_entries(entries: DataFrame, path: str, mode: str = "append") -> None:
-    """Stored entries sorted by row key, so that range scans skip row groups."""
-    entries.repartitionByRange("entry_row").sortWithinPartitions("entry_row").write.mode(
-        mode
-    ).parquet(path)
+def read_positions_before(spark: SparkSession, path: str, run: str, epoch: int) -> DataFrame | None:
+    """Position rows of the step before this epoch of this run; None where there is none.
 
-
-def read_positions_before(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
-    """Position rows of the newest epoch before ``epoch``; None where there is none.
-
-    Normally that is the folder of the epoch before. Only where it is missing, as after a change
-    of the query's checkpoint, are all epochs listed.
+    A run is the life of one checkpoint folder, and its epochs count from 0. Steps count on over
+    the runs of a job. Normally the step before is the run's epoch before; only at the start of a
+    run all positions are read for the newest step that is not this epoch's own, from an attempt
+    before.
     """
-    last = _parquet_if_there(spark, f"{path}/epoch={epoch - 1}")
-    if last is not None:
+    last = _parquet_if_there(spark, f"{path}/run={run}/epoch={epoch - 1}")
+    if last is not None and not last.isEmpty():
         return last
     table = _parquet_if_there(spark, path)
     if table is None:
         return None
-    earlier = table.where(F.col("epoch") < epoch)
-    newest = earlier.agg(F.max("epoch")).first()[0]
-    return None if newest is None else earlier.where(F.col("epoch") == newest)
+    own = (F.col("run") == run) & (F.col("epoch") >= epoch)
+    earlier = table.withColumn("run", F.col("run").cast("string")).where(~own)
+    newest = earlier.agg(F.max("step")).first()[0]
+    return None if newest is None else earlier.where(F.col("step") == newest)
 
 
 def _parquet_if_there(spark: SparkSession, path: str) -> DataFrame | None:
@@ -67,10 +62,10 @@ def _parquet_if_there(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def published_positions(positions: DataFrame) -> DataFrame:
-    """Six-field position texts of the epochs that sent something."""
+    """Six-field position texts of the steps that sent something."""
     return positions.where(F.col("sent") > 0).select(
         "job",
-        "epoch",
+        "step",
         position_text(
             F.col("src_topic"), F.col("src_partition"), F.col("next_offset"),
             F.col("batch_id"), F.col("in_id"), F.col("mid"),
@@ -79,16 +74,16 @@ def published_positions(positions: DataFrame) -> DataFrame:
 
 
 def position_history(positions: DataFrame) -> DataFrame:
-    """One five-field position per job, source partition and minute; the last epoch wins."""
+    """One five-field position per job, source partition and minute; the last step wins."""
     text = position_text(
         F.col("src_topic"), F.col("src_partition"), F.col("next_offset"),
         F.col("batch_id"), F.col("in_id"),
     )
     minute = F.floor(F.col("written_at") / F.lit(60_000)).cast("bigint")
     return (
-        positions.groupBy("job", "src_partition", minute.alias("minute_no"))
-        .agg(F.max_by(text, "epoch").alias("position"))
-        .select("job", "src_partition", *minute_parts(F.col("minute_no")), "position")
+        positions.groupBy("job", *SOURCE, minute.alias("minute_no"))
+        .agg(F.max_by(text, "step").alias("position"))
+        .select("job", *SOURCE, *minute_parts(F.col("minute_no")), "position")
     )
 
 
@@ -103,8 +98,3 @@ def minute_parts(minute_no: Column) -> list[Column]:
         hour.alias("hour"),
         F.concat(hour, F.lit(":"), minute).alias("time"),
     ]
-
-
-def write_monitor(monitor: DataFrame, path: str, mode: str = "append") -> None:
-    """Monitor records as the JSON messages of the monitor topic."""
-    monitor_message(monitor).write.mode(mode).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import numeric_suffix_partition
@@ -14,10 +14,6 @@ def keyed_messages(records: DataFrame) -> DataFrame:
     return encode_records(records).select("topic", "key", "value")
 
 
-def sink_options(servers: str, compression: str = "none") -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "kafka.compression.type": compression}
-
-
 def flush_trigger(seconds: float = 1.0) -> dict[str, str]:
     """Trigger of ``writeStream``: a flush at least every second.
 
@@ -27,9 +23,26 @@ def flush_trigger(seconds: float = 1.0) -> dict[str, str]:
     return {"processingTime": f"{seconds:g} seconds"}
 
 
+def text_hash(text: Column) -> Column:
+    """The signed 32-bit hash of a text that JVM producers take: h = 31 * h + code unit."""
+    units = lambda point: F.when(
+        point >= 0x10000,
+        F.array(0xD800 + F.floor((point - 0x10000) / 1024).cast("bigint"), 0xDC00 + (point - 0x10000) % 1024),
+    ).otherwise(F.array(point))
+    points = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("bigint"))
+    step = lambda h, unit: (h * 31 + unit) % F.lit(1 << 32)
+    hashed = F.aggregate(F.flatten(F.transform(points, units)), F.lit(0).cast("bigint"), step)
+    return F.when(hashed >= 1 << 31, hashed - (1 << 32)).otherwise(hashed)
+
+
 def with_key_partition(messages: DataFrame, partitions: int) -> DataFrame:
-    """Add ``partition``: the key's hash modulo ``partitions``, so a key has one partition."""
-    return messages.withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)))
+    """Add ``partition``: the size of the key's text hash modulo ``partitions``.
+
+    The lowest hash has no positive counterpart and counts as 0.
+    """
+    hashed = text_hash(F.col("key"))
+    size = F.when(hashed == -(1 << 31), F.lit(0)).otherwise(F.abs(hashed))
+    return messages.withColumn("partition", (size % partitions).cast("int"))
 
 
 def with_numeric_partition(messages: DataFrame, partitions: int) -> DataFrame:
@@ -37,12 +50,3 @@ def with_numeric_partition(messages: DataFrame, partitions: int) -> DataFrame:
     return messages.withColumn(
         "partition", numeric_suffix_partition(F.col("key"), partitions).cast("int")
     )
-
-
-def write_partitions(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Messages to Parquet, one folder per topic and partition.
-
-    The partition is a column, not a shuffle: a key that holds a large share of the messages is
-    written by all tasks that have it.
-    """
-    messages.write.mode(mode).partitionBy("topic", "partition").parquet(path)

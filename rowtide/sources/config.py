@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import compact_list, key_list
+from rowtide.operators.routing import one_route_per_table
 
 _ENTRY = (
     "struct<dbname:string,tablename:string,primarykey:string,sourceType:string,topic:string,"
@@ -57,6 +58,20 @@ def load_routes(configs: DataFrame, text: str = "config") -> DataFrame:
     )
 
 
+def job_routes(configs: DataFrame, jobs: DataFrame | None = None, text: str = "config") -> DataFrame:
+    """One route per table from the configurations of several jobs: the last job's, sensitive lists merged.
+
+    ``jobs`` (job, rank) selects the jobs and puts them in order; without it all count, in the
+    order of their names.
+    """
+    routes = load_routes(configs, text)
+    if jobs is None:
+        names = routes.select("job").distinct().withColumn("rank", F.col("job"))
+    else:
+        names = jobs.select("job", "rank")
+    return one_route_per_table(routes.join(names, "job"))
+
+
 def load_sensitive(configs: DataFrame, text: str = "config") -> DataFrame:
     """Sensitive fields per ``db.table`` from ``info.content.db_tab_meta``; the last entry wins."""
     parsed = F.from_json(
@@ -75,7 +90,11 @@ def load_sensitive(configs: DataFrame, text: str = "config") -> DataFrame:
 
 
 def with_sensitive(routes: DataFrame, sensitive: DataFrame) -> DataFrame:
-    """Routes whose sensitive lists come from a separate configuration."""
-    return routes.drop("sensitive").join(
-        sensitive.select("dbname", "tablename", "sensitive"), ["dbname", "tablename"], "left"
+    """Routes, one per table, whose sensitive lists come from a separate configuration.
+
+    Lists of the same table from several jobs are merged.
+    """
+    merged = sensitive.groupBy("dbname", "tablename").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("sensitive")))).alias("sensitive")
     )
+    return one_route_per_table(routes).drop("sensitive").join(merged, ["dbname", "tablename"], "left")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as contract
 from checks import queries as Q
 from rowtide import samples
 from rowtide.operators.reconcile import missing_changes
@@ -25,7 +24,7 @@ def stored_log(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(query(spark, TABLES)) for name, query in contract.queries().items()}
+    return {name: plan(query(spark, TABLES)) for name, query in Q.registered().items()}
 
 
 def test_no_query_crosses_rows(plans):

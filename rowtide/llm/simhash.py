@@ -42,7 +42,7 @@ CAPACITY = 16_384
 TYPICAL = 2_048
 _SEED = 42
 #: Least shingle hashes that are kept of a document, and how many of them are shard keys.
-SKETCH, KEYS = 128, 5
+SKETCH, KEYS = 128, 4
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -107,9 +107,12 @@ def shard_entries(distinct: DataFrame, radius: int, capacity: int) -> DataFrame:
 
 
 def split_shards(entries: DataFrame, capacity: int) -> DataFrame:
-    """The entries (key, fp and more) with key made shard: of large ones a shard per two pieces."""
+    """The entries (key, fp and more) with key made shard: of large ones a shard per two pieces.
+
+    The list of large ones is short and on disk, so that Spark knows its size when it picks the join.
+    """
     more = [c for c in entries.columns if c not in ("key", "fp")]
-    large = entries.groupBy("key").count().where(F.col("count") > capacity)
+    large = stage(entries.groupBy("key").count().where(F.col("count") > capacity))
     pieces = F.ceil(F.coalesce("count", F.lit(1)) * 2.5 / capacity).cast("int")
     entries = entries.join(large, "key", "left").withColumn("pieces", F.when(F.col("count").isNull(), 1).otherwise(pieces))
     entries = entries.withColumn("own", F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces")).cast("int"))
@@ -240,13 +243,16 @@ def one_of_each(
     first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))).alias("first")
     distinct = stage(rows.groupBy("fp").agg(first))
     # Rows of one fingerprint are one node; the sketch of its first row stands for all.
-    nodes = distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys", "refined"), "_row")
+    nodes = stage(
+        distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys", "refined"), "_row")
+    )
     nodes = nodes.select("fp", "sketch", F.explode(F.arrays_zip("keys", "refined")).alias("k"))
-    hot = nodes.groupBy(F.col("k.keys").alias("hot")).count().where(F.col("count") > common).select("hot")
-    keyed = nodes.join(hot, nodes["k.keys"] == hot["hot"], "left").select(
-        F.when(F.col("hot").isNull(), F.col("k.keys")).otherwise(F.col("k.refined")).alias("key"), "fp", "sketch"
+    nodes = nodes.select(F.col("k.keys").alias("key"), F.col("k.refined").alias("refined"), "fp", "sketch")
+    hot = stage(nodes.groupBy(F.col("key").alias("hot")).count().where(F.col("count") > common).select("hot"))
+    keyed = nodes.join(hot, F.col("key") == F.col("hot"), "left").select(
+        F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.col("refined")).alias("key"), "fp", "sketch"
     )
-    links = stage(star_links(split_shards(keyed.dropDuplicates(["key", "fp"]), capacity), radius, similarity))
+    links = stage(star_links(split_shards(keyed, capacity), radius, similarity))
     roots = components(links).select(F.col("u").alias("fp"), "root")
     rooted = distinct.join(roots, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))

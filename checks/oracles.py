@@ -103,6 +103,7 @@ def _records(update: str = "changed", null: str = "keep", sensitive: bool = True
     visible = "NOT list_contains(sens, name)" if sensitive else "true"
     pair = "'[' || name || ',' || coalesce(value, 'null') || ']'"
     entry = f"{_text_size('name')} + 1 + coalesce({_text_size('value')}, 0)"
+    entry_hex = f"{_text_hex('name')} || coalesce('00' || {_text_hex('value')}, '02')"
     return (
         _CELLS.format(name="cells", source=source, count="n_emit")
         + ","
@@ -118,6 +119,8 @@ maps AS (
     string_agg({pair}, '' ORDER BY name) FILTER (WHERE side = 'src') AS src,
     string_agg({pair}, '' ORDER BY name) FILTER (WHERE side = 'cur') AS cur,
     count(*) FILTER (WHERE side = 'src') AS src_n, count(*) FILTER (WHERE side = 'cur') AS cur_n,
+    string_agg({entry_hex}, '' ORDER BY idx) FILTER (WHERE side = 'src') AS src_hex,
+    string_agg({entry_hex}, '' ORDER BY idx) FILTER (WHERE side = 'cur') AS cur_hex,
     coalesce(sum({entry}) FILTER (WHERE side = 'src'), 0) AS src_bytes,
     coalesce(sum({entry}) FILTER (WHERE side = 'cur'), 0) AS cur_bytes
   FROM images GROUP BY ALL),
@@ -130,7 +133,7 @@ records AS (
   SELECT r.*, CAST(i - 1 AS INTEGER) AS row_no, row_keys.key, mids.first_mid + i - 1 AS mid,
     coalesce(src, '') AS src, coalesce(cur, '') AS cur, coalesce(src_n, 0) AS src_n,
     coalesce(cur_n, 0) AS cur_n, coalesce(src_bytes, 0) AS src_bytes,
-    coalesce(cur_bytes, 0) AS cur_bytes
+    coalesce(cur_bytes, 0) AS cur_bytes, src_hex, cur_hex
   FROM cells_rows r
   JOIN row_keys ON r.src_partition = row_keys.src_partition AND r.src_offset = row_keys.src_offset
     AND r.i - 1 = row_keys.row_no
@@ -155,6 +158,32 @@ def _map_size(entries: str, size: str) -> str:
     return f"(2 + CASE WHEN {entries} > 0 THEN {_long_size(entries)} + {size} ELSE 0 END)"
 
 
+def _long_hex(value: str) -> str:
+    """Hex of a zig-zag variable-length integer that is not negative, up to 8 bytes."""
+    byte = lambda i, more: f"printf('%02X', ((2 * ({value})) >> {7 * i}) & 127 | {128 if more else 0})"
+    cases = " ".join(
+        f"WHEN {value} < {1 << (7 * n - 1)} THEN " + " || ".join(byte(i, i + 1 < n) for i in range(n)) for n in range(1, 9)
+    )
+    return f"(CASE {cases} END)"
+
+
+def _text_hex(value: str) -> str:
+    return f"({_long_hex(f'strlen({value})')} || hex({value}))"
+
+
+def _map_hex(entries: str, cells: str) -> str:
+    return f"('00' || CASE WHEN {entries} > 0 THEN {_long_hex(entries)} || {cells} ELSE '' END || '00')"
+
+
+_CUS_HEX = (
+    f"({_text_hex(chr(39) + 'dmlts' + chr(39))} || '00' || {_text_hex('CAST(execute_time AS VARCHAR)')} || "
+    f"{_text_hex(chr(39) + 'ip' + chr(39))} || '00' || {_text_hex('ip')})"
+)
+_RECORD_HEX = (
+    f"({_long_hex('mid')} || {_text_hex('db')} || {_text_hex('db')} || {_text_hex('tab')} || {_text_hex('ev')} || "
+    f"{_long_hex(str(TS))} || '0000' || '0000' || {_map_hex('src_n', 'src_hex')} || {_map_hex('cur_n', 'cur_hex')} || "
+    f"{_map_hex('2', _CUS_HEX)})"
+)
 _CUS_SIZE = (
     f"({_text_size(chr(39) + 'dmlts' + chr(39))} + {_text_size(chr(39) + 'ip' + chr(39))} + 2 + "
     f"{_text_size('CAST(execute_time AS VARCHAR)')} + {_text_size('ip')})"
@@ -182,8 +211,8 @@ last_maps AS (
     string_agg('[' || name || ',' || value || ']', '' ORDER BY name) FILTER (WHERE side = 'src') AS src,
     string_agg('[' || name || ',' || value || ']', '' ORDER BY name) FILTER (WHERE side = 'cur') AS cur,
     count(*) FILTER (WHERE side = 'src') AS src_n, count(*) FILTER (WHERE side = 'cur') AS cur_n,
-    coalesce(sum({entry}) FILTER (WHERE side = 'src'), 0) AS src_bytes,
-    coalesce(sum({entry}) FILTER (WHERE side = 'cur'), 0) AS cur_bytes
+    string_agg({entry_hex}, '' ORDER BY idx) FILTER (WHERE side = 'src') AS src_hex,
+    string_agg({entry_hex}, '' ORDER BY idx) FILTER (WHERE side = 'cur') AS cur_hex
   FROM (
     SELECT *, 'src' AS side, coalesce(bv, '') AS value FROM all_cells WHERE ev = 'DELETE'
     UNION ALL
@@ -193,14 +222,14 @@ last_maps AS (
 whole AS (
   SELECT env.*, n_rows > 0 AND ev <> 'UPDATE' AS mapped, coalesce(src, '') AS src_text,
     coalesce(cur, '') AS cur_text, coalesce(src_n, 0) AS src_n, coalesce(cur_n, 0) AS cur_n,
-    coalesce(src_bytes, 0) AS src_bytes, coalesce(cur_bytes, 0) AS cur_bytes
+    src_hex, cur_hex
   FROM env LEFT JOIN last_maps USING (src_partition, src_offset))
-""".format(entry=f"{_text_size('name')} + 1 + {_text_size('value')}")
+""".format(entry_hex=f"{_text_hex('name')} || '00' || {_text_hex('value')}")
 
-_WHOLE_SIZE = (
-    f"(1 + {_long_size(str(TS))} + 2 * {_text_size('db')} + {_text_size('tab')} + {_text_size('ev')} + "
-    f"1 + {_text_size('sql_text')} + 2 + 1 + "
-    f"CASE WHEN mapped THEN {_map_size('src_n', 'src_bytes')} + {_map_size('cur_n', 'cur_bytes')} ELSE 2 END)"
+_WHOLE_HEX = (
+    f"('00' || {_text_hex('db')} || {_text_hex('db')} || {_text_hex('tab')} || {_text_hex('ev')} || {_long_hex(str(TS))} || "
+    f"'00' || {_text_hex('sql_text')} || '0000' || "
+    f"CASE WHEN mapped THEN {_map_hex('src_n', 'src_hex')} || {_map_hex('cur_n', 'cur_hex')} ELSE '0202' END || '02')"
 )
 
 _FIRST_CELL = """
@@ -507,7 +536,7 @@ def oracles() -> dict[str, str]:
         "f21_stored_records": f"""{_with(_LOG, _ALL_CELLS, _LAST_ROW)}
             SELECT src_partition,
               100 + row_number() OVER (PARTITION BY src_partition ORDER BY src_offset) - 1 AS entry_row,
-              CAST({_WHOLE_SIZE} AS BIGINT) AS value_bytes FROM whole""",
+              {_WHOLE_HEX} AS value_hex FROM whole""",
         "n1_n2_batch_numbers": f"""{_NO_ROUTES_LOG},
             starts AS (SELECT src_partition AS p, max(batch_id) AS b0, max(in_id) AS i0
               FROM kept GROUP BY 1)
@@ -640,8 +669,7 @@ def oracles() -> dict[str, str]:
               'email,remark,userremark,orderftel,premark"}}', ',' ORDER BY pos) || ']}}}}' AS config
             FROM entries GROUP BY job""",
         "k1_keyed_messages": f"""{_ON_RECORDS}
-            SELECT topic, key, CAST({_RECORD_SIZE} AS BIGINT) AS value_bytes
-            FROM records WHERE key IS NOT NULL""",
+            SELECT topic, key, {_RECORD_HEX} AS value_hex FROM records WHERE key IS NOT NULL""",
         "k2_stored_entries": f"""{_with(_LOG, _ALL_CELLS, _RENDERED)}
             SELECT src_partition,
               row_number() OVER (PARTITION BY src_partition ORDER BY src_offset) - 1 AS entry_row,

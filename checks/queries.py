@@ -450,9 +450,7 @@ def f20_readable(spark, sf_dir):
 @_query
 def f21_stored_records(spark, sf_dir):
     entries = D.converted_entries(_log(spark, sf_dir), F.lit(TS), start=100)
-    return entries.select(
-        "src_partition", "entry_row", F.octet_length("value").cast("bigint").alias("value_bytes")
-    )
+    return entries.select("src_partition", "entry_row", F.hex("value").alias("value_hex"))
 
 
 # --- numbering -------------------------------------------------------------------------------
@@ -681,9 +679,7 @@ def r12_sensitive_configs(spark, sf_dir):
 @_query
 def k1_keyed_messages(spark, sf_dir):
     messages = KP.keyed_messages(R.with_key(_records(spark, sf_dir)))
-    return messages.select(
-        "topic", "key", F.octet_length("value").cast("bigint").alias("value_bytes")
-    )
+    return messages.select("topic", "key", F.hex("value").alias("value_hex"))
 
 
 @_query

@@ -1,13 +1,15 @@
-"""Bytes of one record in the fixed Avro schema; used inside Arrow batches only.
+"""One record from its bytes in the fixed Avro schema; used inside Arrow batches only.
 
-Where Spark's Avro package is deployed ``to_avro``/``from_avro`` do this in the JVM.
+Where Spark's Avro package is deployed ``from_avro`` does this in the JVM. Encoding is an
+expression, see ``avro_bytes``.
 """
 
 from __future__ import annotations
 
 import json
 
-# Fixed value: field names, types and branch order of the record schema as it is published.
+# Fixed value: field names, types and branch order of the published record schema; the record's own
+# name is not part of the bytes.
 RECORD_AVRO_SCHEMA = json.dumps(
     {
         "type": "record",
@@ -28,31 +30,15 @@ RECORD_AVRO_SCHEMA = json.dumps(
     }
 )
 
-_LAYOUT = (
-    ("mid", "long"), ("db", "text"), ("sch", "text"), ("tab", "text"), ("opt", "text"),
-    ("ts", "long"), ("ddl", "text?"), ("err", "text?"),
-    ("src", "map?"), ("cur", "map?"), ("cus", "map?"),
-)
+def _kind(field: dict) -> str:
+    """'long', 'string' or 'map', with '?' where null is the other branch."""
+    kind = field["type"]
+    optional = isinstance(kind, list)
+    kind = kind[0] if optional else kind
+    return (kind["type"] if isinstance(kind, dict) else kind) + "?" * optional
 
 
-def encode_record(record: dict) -> bytes:
-    """``record`` maps field names to values; maps may be dicts or lists of pairs."""
-    out = bytearray()
-    for name, kind in _LAYOUT:
-        value = record[name]
-        if kind == "long":
-            _put_long(out, value)
-        elif kind == "text":
-            _put_text(out, value)
-        elif value is None:
-            _put_long(out, 1)
-        elif kind == "text?":
-            _put_long(out, 0)
-            _put_text(out, value)
-        else:
-            _put_long(out, 0)
-            _put_map(out, dict(value))
-    return bytes(out)
+_LAYOUT = tuple((field["name"], _kind(field)) for field in json.loads(RECORD_AVRO_SCHEMA)["fields"])
 
 
 def decode_record(data: bytes) -> dict:
@@ -65,7 +51,7 @@ def decode_record(data: bytes) -> dict:
                 continue
         if kind == "long":
             record[name], at = _get_long(data, at)
-        elif kind.startswith("text"):
+        elif kind.startswith("string"):
             record[name], at = _get_text(data, at)
         else:
             record[name], at = _get_map(data, at)
@@ -74,33 +60,6 @@ def decode_record(data: bytes) -> dict:
     return record
 
 
-def _put_long(out: bytearray, value: int) -> None:
-    folded = (value << 1) ^ (value >> 63)
-    while folded > 0x7F:
-        out.append((folded & 0x7F) | 0x80)
-        folded >>= 7
-    out.append(folded)
-
-
-def _put_text(out: bytearray, text: str) -> None:
-    data = text.encode("utf-8")
-    _put_long(out, len(data))
-    out += data
-
-
-def _put_map(out: bytearray, entries: dict) -> None:
-    if entries:
-        _put_long(out, len(entries))
-        for key, value in entries.items():
-            _put_text(out, key)
-            if value is None:
-                _put_long(out, 1)
-            else:
-                _put_long(out, 0)
-                _put_text(out, value)
-    _put_long(out, 0)
-
-
 def _get_long(data: bytes, at: int) -> tuple[int, int]:
     folded = shift = 0
     while True:

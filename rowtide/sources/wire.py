@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rowtide.functions.record_codec import RECORD_AVRO_SCHEMA, decode_record, encode_record
+from rowtide.functions.avro_bytes import record_bytes
+from rowtide.functions.record_codec import RECORD_AVRO_SCHEMA, decode_record
 from rowtide.schemas import ENVELOPE_BODY, RECORD_BODY, RECORD_FIELDS
 
 DECODE_ERROR = "decode_error"
@@ -53,7 +54,8 @@ def encode_records(records: DataFrame) -> DataFrame:
         return records.select(
             *rest, to_avro(F.struct(*RECORD_FIELDS), RECORD_AVRO_SCHEMA).alias("value")
         )
-    return _encoded(records, RECORD_FIELDS, encode_record)
+    rest = [c for c in records.columns if c not in RECORD_FIELDS]
+    return records.select(*rest, record_bytes().alias("value"))
 
 
 def encode_envelopes(envelopes: DataFrame) -> DataFrame:

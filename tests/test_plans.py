@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import queries as Q
 from rowtide import samples
 from rowtide.operators.reconcile import missing_changes
-from rowtide.sources.tables import read_envelopes, scan_stored
+from rowtide.sources.tables import from_positions, read_envelopes, scan_stored
 from tests.conftest import TABLES
 
 
@@ -33,7 +34,7 @@ def test_no_query_crosses_rows(plans):
 
 
 def test_only_byte_codecs_run_python(plans):
-    coded = {"s7_decode_envelopes", "s8_decode_records", "f21_stored_records", "k1_keyed_messages"}
+    coded = {"s7_decode_envelopes", "s8_decode_records"}
     assert {name for name, text in plans.items() if "MapInArrow" in text} == coded
 
 
@@ -44,6 +45,32 @@ def test_range_scan_reaches_parquet(spark, tmp_path):
     assert "GreaterThanOrEqual(event_row,100), LessThan(event_row,150)" in text
 
 
+def test_positions_reach_parquet(spark, stored_log):
+    log = read_envelopes(spark, stored_log)
+    half = log.groupBy("src_topic", "src_partition").agg(F.expr("max(src_offset) div 2").alias("next_offset"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "20000")
+    text = plan(from_positions(log, half))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in text.split("\n") if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(src_offset," in pushed and "EqualNullSafe(src_partition,0)" in pushed
+
+
+@pytest.mark.parametrize("name", ["missing_changes", "null_audit"])
+def test_audits_number_nothing(spark, stored_log, name):
+    from rowtide import convert
+    from rowtide.operators.audit import null_audit
+    from rowtide.operators.reconcile import record_keys
+
+    log = read_envelopes(spark, stored_log)
+
+    def scans(options):
+        records = convert(log, Q._routes(spark), 1, options)
+        frame = null_audit(records) if name == "null_audit" else record_keys(records, Q.KEYS).select("change_key").distinct()
+        return plan(frame).count("FileScan parquet")
+
+    assert scans(Q.UNNUMBERED) == 2 and scans(Q.HELD) > 2
+
+
 def test_counting_rows_reads_one_side_and_no_header_details(spark, stored_log):
     from rowtide.operators.monitoring import rows_per_topic
     from rowtide.plans.convert import routed_envelopes

@@ -7,7 +7,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.functions.record_codec import decode_record, encode_record
+from rowtide.functions.record_codec import decode_record
+from rowtide.schemas import RECORD_BODY
 from rowtide.functions.text import map_dump, numeric_suffix_partition
 from rowtide.operators.job_configs import routed_tables, sensitive_configs
 from rowtide.sources import config, json_changes, kafka, positions, tables, wire
@@ -65,16 +66,31 @@ RECORD = dict(
 )
 
 
-def test_record_bytes():
-    data = encode_record(RECORD)
+def encode_record(spark, record):
+    frame = spark.createDataFrame([tuple(record[n] for n in RECORD_BODY.names)], RECORD_BODY)
+    return bytes(wire.encode_records(frame).first().value)
+
+
+def test_record_bytes(spark):
+    data = encode_record(spark, RECORD)
     assert data.startswith(bytes([9, 2]) + b"d" + bytes([2]) + b"d" + bytes([2]) + b"t" + bytes([12]) + b"INSERT")
     assert decode_record(data) == RECORD
     with pytest.raises((ValueError, IndexError)):
         decode_record(data[:-4])
 
 
-def test_blocks_with_sizes_are_read():
-    plain = encode_record(RECORD | {"cur": None, "src": None, "cus": {"a": "b"}})
+@pytest.mark.parametrize("mid", [0, -1, 63, 64, -64, -65, 8191, 8192, (1 << 62) + 5, (1 << 63) - 1, -(1 << 63)])
+def test_long_bytes(spark, mid):
+    assert decode_record(encode_record(spark, RECORD | {"mid": mid}))["mid"] == mid
+
+
+def test_long_texts(spark):
+    record = RECORD | {"db": "x" * 70, "tab": "é" * 9000, "cur": {str(i): "v" * i for i in range(150)}}
+    assert decode_record(encode_record(spark, record)) == record
+
+
+def test_blocks_with_sizes_are_read(spark):
+    plain = encode_record(spark, RECORD | {"cur": None, "src": None, "cus": {"a": "b"}})
     head, entry = plain[:-7], bytes([2]) + b"a" + bytes([0, 2]) + b"b"
     assert plain.endswith(bytes([2]) + entry + bytes([0]))
     assert decode_record(plain[:-7] + bytes([1, len(entry) * 2]) + entry + bytes([0]))["cus"] == {"a": "b"}
@@ -82,7 +98,7 @@ def test_blocks_with_sizes_are_read():
 
 
 def test_bad_record_bytes(spark):
-    got = wire.decode_records(messages(spark, b"\x02", encode_record(RECORD)))
+    got = wire.decode_records(messages(spark, b"\x02", encode_record(spark, RECORD)))
     assert wire.undecodable(got).count() == 1
     kept = wire.decoded_ok(got).first()
     assert kept.cur == RECORD["cur"] and kept.src == {} and kept.cus is None
@@ -145,12 +161,13 @@ def test_positions(spark):
 
 def test_scan_stops_at_the_first_empty_value(spark):
     stored = spark.range(50).selectExpr(
-        "id as event_row", "cast(if(id = 23, '', 'x') as binary) as event_bytes"
+        "id as event_row", "cast(if(id = 23, null, if(id = 20, '', 'x')) as binary) as event_bytes"
     )
     assert tables.scan_stored(stored, 10, 20).count() == 13
     assert tables.scan_stored(stored, 24, 20).count() == 20
-    assert tables.successive_scans(stored, 20).groupBy("scan_no").count().orderBy("scan_no").collect() == [
-        (0, 20), (1, 3), (2, 10)
+    # 0-19, 20-22 up to the empty row, 24-43, 44-49.
+    assert [tuple(r) for r in tables.successive_scans(stored, 20).groupBy("scan_no").count().orderBy("scan_no").collect()] == [
+        (0, 20), (1, 3), (2, 20), (3, 6)
     ]
 
 
@@ -173,3 +190,50 @@ def test_numeric_suffix(spark):
 def test_map_dump(spark):
     frame = spark.createDataFrame([({"b": None, "a": "1"},), ({},), (None,)], "m map<string,string>")
     assert [r[0] for r in frame.select(map_dump(F.col("m"))).collect()] == ["[a,1][b,null]", "", ""]
+
+
+def test_successive_scans_keep_every_event(spark):
+    from rowtide.sources.tables import successive_scans
+
+    empty = {0, 7, 8, 30, 59}
+    rows = [(i, None if i in empty else b"" if i % 9 == 1 else b"x") for i in range(60)]
+    frame = spark.createDataFrame(rows, "event_row long, event_bytes binary")
+    want, scan, begun = {}, 0, 0
+    for i in range(60):
+        if i in empty:
+            scan += -(-(i - begun) // 5)
+            begun = i + 1
+        else:
+            want[i] = scan + (i - begun) // 5
+    for widths in ((), (4,), (4, 3)):
+        got = successive_scans(frame, 5, widths=widths).collect()
+        assert {r.event_row: r.scan_no for r in got} == want
+
+
+def test_positions_of_many_partitions_are_looked_up(spark, monkeypatch):
+    from rowtide.sources import tables
+
+    rows = [(t, p, o) for t in ("a", "b") for p in range(3) for o in range(4)]
+    log = spark.createDataFrame(rows, "src_topic string, src_partition int, src_offset long")
+    starts = spark.createDataFrame([("a", 0, 2), ("b", 1, 3)], "src_topic string, src_partition int, next_offset long")
+    want = sorted(r for r in rows if r[2] >= {("a", 0): 2, ("b", 1): 3}.get(r[:2], 0))
+    for most in (256, 1):
+        monkeypatch.setattr(tables, "LITERAL_POSITIONS", most)
+        assert sorted(map(tuple, tables.from_positions(log, starts).collect())) == want
+
+
+def test_one_route_per_table_from_many_jobs(spark):
+    import json
+
+    from rowtide.sources.config import job_routes
+
+    entry = lambda topic, hidden: {"dbname": "d", "tablename": "t", "topic": topic, "primarykey": "id", "sensitive": hidden}
+    configs = spark.createDataFrame(
+        [("j1", json.dumps([entry("x", "a"), entry("y", "b")])), ("j2", json.dumps([entry("z", "c")]))], "job string, config string"
+    )
+    row = job_routes(configs).collect()
+    assert [(r.topic, r.sensitive) for r in row] == [("z", ["b", "c"])]
+    order = spark.createDataFrame([("j1", 2), ("j2", 1)], "job string, rank int")
+    assert job_routes(configs, order).first().topic == "y"
+    only = spark.createDataFrame([("j1", 0)], "job string, rank int")
+    assert job_routes(configs, only).first().sensitive == ["b"]

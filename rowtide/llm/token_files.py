@@ -32,6 +32,8 @@ from rowtide.llm.shared import file_system, new_file, prepare, shared_folder, st
 MAGIC = b"RTIDS\x01\r\n"
 #: Tokens after which a file is closed, at the end of a document.
 FILE_TOKENS = 2_000_000
+#: Blocks that are coded in one array.
+TOGETHER = 40
 #: Entries of a generation of each of a worker's two word caches.
 CACHE = 250_000
 
@@ -219,7 +221,9 @@ def write_file(out, table: rans.Table, table_crc: int, doc_ids: list[int | None]
     out.write(MAGIC)
     at, segments = len(MAGIC), []
     full = len(tokens) // rans.BLOCK
-    batches = [tokens[i * rans.BLOCK : min(full, i + 16) * rans.BLOCK].reshape(-1, rans.BLOCK) for i in range(0, full, 16)]
+    batches = [
+        tokens[i * rans.BLOCK : min(full, i + TOGETHER) * rans.BLOCK].reshape(-1, rans.BLOCK) for i in range(0, full, TOGETHER)
+    ]
     if len(tokens) > full * rans.BLOCK:
         batches.append(tokens[None, full * rans.BLOCK :])
     for batch in batches:
@@ -341,7 +345,7 @@ def read_token_files(files: DataFrame, folder: str, digest: Callable[[np.ndarray
     """A row per document of the files (path, start): doc_id, start, n_tokens and the crc of its ids."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None
+        table, step = None, TOGETHER * (rans.STEPS // rans.EVERY)
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if table is None:
@@ -356,7 +360,7 @@ def read_token_files(files: DataFrame, folder: str, digest: Callable[[np.ndarray
                         raise ValueError(f"{path} was written under another frequency table")
                     tokens = np.concatenate(
                         [np.zeros(0, np.uint32)]
-                        + [read_segments(source, table, segments[i : i + 64]) for i in range(0, len(segments), 64)]
+                        + [read_segments(source, table, segments[i : i + step]) for i in range(0, len(segments), step)]
                     ).astype("<u4")
                 ends = np.cumsum(sizes)
                 starts = ends - sizes

@@ -3,7 +3,7 @@
 A document's character classes and common words are compared with those of its language by the
 Jensen-Shannon distance. The references come from all documents of the language that pass the base
 rules, each with equal weight: mean shares of eight character classes, and of the words that make
-up at least ``COMMON_SHARE`` of the language's words, 32 at most (the rest is one share).
+up at least ``COMMON_SHARE`` of the words of all its documents, 32 at most (the rest is one share).
 
 Finding those words takes no shuffle of the vocabulary: each task keeps a bounded summary of
 frequent words per language (Misra-Gries), whose sums miss no word of that share; the words it
@@ -185,21 +185,22 @@ def base_failed() -> Column:
 def references(rows: DataFrame) -> DataFrame:
     """_lang, class_ref, places (of the common words kept) and word_ref, the last share being the rest."""
     good = rows.where(~base_failed())
+    words = rows.groupBy("_lang").agg(F.sum("n_words").alias("all_words"))
     n = F.aggregate("classes", F.lit(0).cast("long"), lambda a, b: a + b)
     classes = good.groupBy("_lang").agg(
-        F.array(*(F.avg(F.col("classes")[i] / n) for i in range(len(CLASSES)))).alias("class_ref"),
-        F.sum("n_words").alias("all_words"),
+        F.array(*(F.avg(F.col("classes")[i] / n) for i in range(len(CLASSES)))).alias("class_ref")
     )
-    each = good.select("_lang", "n_words", F.posexplode("common").alias("place", "n"))
-    shares = each.groupBy("_lang", "place").agg(F.avg(F.col("n") / F.col("n_words")).alias("share"), F.sum("n").alias("n"))
-    shares = shares.join(classes.select("_lang", "all_words"), "_lang").where(F.col("n") >= COMMON_SHARE * F.col("all_words"))
+    each = rows.select("_lang", "n_words", base_failed().alias("bad"), F.posexplode("common").alias("place", "n"))
+    share = F.avg(F.when(~F.col("bad"), F.col("n") / F.col("n_words"))).alias("share")
+    shares = each.groupBy("_lang", "place").agg(share, F.sum("n").alias("n")).where("share is not null")
+    shares = shares.join(words, "_lang").where(F.col("n") >= COMMON_SHARE * F.col("all_words"))
     ranked = shares.withColumn("rank", F.row_number().over(Window.partitionBy("_lang").orderBy(F.desc("n"), "place")))
     kept = ranked.where(F.col("rank") <= COMMON_WORDS).groupBy("_lang").agg(
         F.sort_array(F.collect_list(F.struct("place", "share"))).alias("kept")
     )
     whole = F.aggregate("kept.share", F.lit(0.0), lambda a, b: a + b)
     kept = kept.select("_lang", F.col("kept.place").alias("places"), F.concat("kept.share", F.array(F.greatest(F.lit(0.0), 1 - whole))).alias("word_ref"))
-    return classes.drop("all_words").join(kept, "_lang", "left")
+    return classes.join(kept, "_lang", "left")
 
 
 def distance(counts: Column, reference: Column) -> Column:

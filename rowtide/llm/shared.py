@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch; texts may be long, so batches are kept far below Spark's default.
 BATCH_ROWS = "512"
+_STAGED: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -53,9 +54,23 @@ def stage(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     folder = shared_folder(spark)
     frame.write.option("compression", "zstd").parquet(folder)
+    _STAGED.append(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def release(kept: DataFrame) -> None:
+    """Delete the tables that ``stage`` has made so far, but for those that this frame reads.
+
+    For a pipeline whose next step needs nothing but its input, which is stored.
+    """
+    read = {path.rpartition("/")[0].rpartition("/")[2] for path in kept.inputFiles()}
+    for folder in [f for f in _STAGED if f.rpartition("/")[2] not in read]:
+        _STAGED.remove(folder)
+        files, path = file_system(folder)
+        if files.get_file_info(path).type == pafs.FileType.Directory:
+            files.delete_dir(path)
+
+
 def drop(staged: DataFrame) -> None:
     """Delete a table that ``stage`` has made and that nothing will read again."""
     folders = {path.rpartition("/")[0] for path in staged.inputFiles()}

@@ -3,12 +3,17 @@
 Every window of a document that is as long as a benchmark item gets a 64-bit SimHash of its word
 shingles. The items' fingerprints are cut into blocks, and a table lists for every value of a block
 the items within its share of the radius: of two fingerprints within the radius one block at least
-is that near, so no such item is missed (multi-index Hamming search). Candidates are verified by
-the weighted share of the item's shingles that the window holds.
+is that near, so no such fingerprint is missed (multi-index Hamming search). Candidates are verified
+by the weighted share of the item's shingles that the window holds.
+
+The radius does not bound that share, as foreign words of a window move its fingerprint and not the
+share. So a list of the items of every shingle gives the items of which the document holds enough at
+all, and where windows gain or lose one of an item's shingles they are verified too, those that hold
+most first. That search is exact: no item of enough similarity depends on the radius.
 
 A window cannot hold more of an item than the shingles in it that occur in the benchmark at all.
-Windows are only made where those weigh enough for the lightest item of the window's length; that
-bound is exact and spares most of the text the rest.
+Fingerprints are only made where those weigh enough for the lightest item of the window's length;
+that bound is exact and spares most of the text the rest.
 
 Shingles take five words in lower case without marks (an item of fewer words is one shingle) and
 weigh as much as they have characters. The benchmark goes to the tasks in blocks of ``ITEMS`` items,
@@ -124,13 +129,15 @@ class Index:
         self.items = [(item_id, words) for item_id, words in kept if words.words]
         self.sizes = np.array([len(w.words) for _, w in self.items], np.int64)
         self.shingle = np.minimum(self.sizes, SHINGLE)
-        fps, known = [], {}
+        fps, known, owner, worth = [], {}, {}, {}
         self.content: list[Counter] = []
         self.weight: list[int] = []
-        for (_, words), size in zip(self.items, self.shingle.tolist(), strict=True):
+        for i, ((_, words), size) in enumerate(zip(self.items, self.shingle.tolist(), strict=True)):
             hashes, weights = words.shingles(size)
             fps.append(simhash(hashes, weights))
             known.setdefault(size, []).append(hashes)
+            owner.setdefault(size, []).append(np.full(len(hashes), i, np.int64))
+            worth.setdefault(size, []).append(weights)
             content = Counter(words.shingle(i, size) for i in range(len(hashes)))
             self.content.append(content)
             self.weight.append(sum(len(s) * n for s, n in content.items()))
@@ -138,6 +145,7 @@ class Index:
         self.least = {n: max(1, int(weight[self.sizes == n].min())) for n in set(self.sizes.tolist())}
         self.fps = np.array(fps, np.uint64)
         self.known = {size: np.unique(np.concatenate(h)) for size, h in known.items()}
+        self.postings = {size: self._posted(size, *map(np.concatenate, (known[size], owner[size], worth[size]))) for size in known}
         self.flags = {}
         for size, hashes in self.known.items():
             self.flags[size] = np.zeros(1 << 20, bool)
@@ -151,6 +159,40 @@ class Index:
             item = np.repeat(np.arange(len(value), dtype=np.int32), len(near))[order]
             self.tables.append((np.searchsorted(keys[order], np.arange((1 << _BITS) + 1)), item))
 
+    def _posted(self, size: int, hashes: np.ndarray, owner: np.ndarray, worth: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Shingle (its place among the known), item and weight of every shingle in every item; and where an item's begin."""
+        pair, of = np.unique(np.searchsorted(self.known[size], hashes) + owner * len(self.known[size]), return_inverse=True)
+        item, shingle = pair // len(self.known[size]), pair % len(self.known[size])
+        weight = np.bincount(of, worth, len(pair)).astype(np.int64)
+        return shingle, item, weight, np.searchsorted(item, np.arange(len(self.items) + 1))
+
+    def held_windows(
+        self, hashes: np.ndarray, weights: np.ndarray, hits: np.ndarray, size: int, similarity: float
+    ) -> Iterator[tuple[int, int, list[tuple[float, int]]]]:
+        """item, its window's shingles, and windows that may hold enough of it: the most they can hold and their place, best first.
+
+        What a window holds of an item changes only where the window gains or loses one of its
+        shingles, so the first window of every value is among those that begin there.
+        """
+        shingle, item, weight, begin = self.postings[size]
+        place = np.searchsorted(self.known[size], hashes[hits])
+        total = np.bincount(place, weights[hits], len(self.known[size])).astype(np.int64)
+        most = np.bincount(item, np.minimum(total[shingle], weight), len(self.items))
+        whole = np.array(self.weight, np.float64)
+        for i in np.flatnonzero((most / whole >= similarity) & (self.shingle == size)).tolist():
+            span = min(int(self.sizes[i]), len(hashes) + size - 1) - size + 1
+            own = np.zeros(len(total), bool)
+            own[shingle[begin[i] : begin[i + 1]]] = True
+            at = hits[own[place]]
+            sums = np.concatenate(([0], np.cumsum(weights[at])))
+            starts = np.unique(np.concatenate(([0], at + 1, np.maximum(at - span + 1, 0))))
+            starts = starts[starts <= len(hashes) - span]
+            held = (sums[np.searchsorted(at, starts + span)] - sums[np.searchsorted(at, starts)]) / whole[i]
+            some = np.flatnonzero(held >= similarity)
+            some = some[np.argsort(-held[some], kind="stable")]
+            if len(some):
+                yield i, span, list(zip(held[some].tolist(), starts[some].tolist(), strict=True))
+
     def hits(self, hashes: np.ndarray, size: int) -> np.ndarray:
         """Places of the shingles that some item has."""
         maybe = np.flatnonzero(self.flags[size][hashes & np.uint64((1 << 20) - 1)])
@@ -207,6 +249,15 @@ class Index:
                         if found >= similarity and found > best.get(i, (0.0,))[0]:
                             fp = simhash(hashes[w : w + span], weights[w : w + span])
                             best[i] = (found, w, min(length, n), (fp ^ int(self.fps[i])).bit_count())
+            for i, span, some in self.held_windows(hashes, weights, hits, size, similarity):
+                for most, w in some:
+                    found, first = best.get(i, (0.0, n))[:2]
+                    if (-most, w) >= (-found, first):
+                        break
+                    share = self.similarity(words, w, span, size, i)
+                    if share >= similarity and (-share, w) < (-found, first):
+                        fp = simhash(hashes[w : w + span], weights[w : w + span])
+                        best[i] = (share, w, span + size - 1, (fp ^ int(self.fps[i])).bit_count())
         return [(i, *found) for i, found in sorted(best.items())]
 
     def similarity(self, words: Words, at: int, span: int, size: int, item: int) -> float:

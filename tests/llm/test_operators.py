@@ -367,6 +367,41 @@ def test_multi_index_finds_every_fingerprint_within_the_radius():
     assert set(zip(window.tolist(), item.tolist(), strict=True)) == want
 
 
+def every_window(text, items, similarity=0.8):
+    """item: similarity and first word of the first best window, over all windows and items."""
+    found, out = quality.plain_words(text), {}
+    for i, item in items:
+        own = quality.plain_words(item)
+        size, length = min(len(own), 5), min(len(own), len(found))
+        cut = lambda w: Counter(b" ".join(w[k : k + size]) for k in range(len(w) - size + 1))
+        content = cut(own)
+        weight = sum(len(s) * n for s, n in content.items())
+        shares = [
+            (sum(len(s) * min(n, window[s]) for s, n in content.items()) / weight, -at)
+            for at in range(len(found) - length + 1) for window in [cut(found[at : at + length])]
+        ] if len(found) >= size else []
+        if shares and max(shares)[0] >= similarity:
+            out[i] = (max(shares)[0], -max(shares)[1])
+    return out
+
+
+def test_windows_match_brute_force_whatever_else_they_hold(spark):
+    rng = random.Random(21)
+    items = [(i, words(rng, n, 300)) for i, n in enumerate([4, 9, 20, 40, 40, 40, 60, 60])]
+    items.append((8, "again and again " * 9))
+    texts = []
+    for k in range(60):
+        own = items[k % 9][1].split()
+        for _ in range(rng.randrange(3)):
+            own[rng.randrange(len(own))] = rng.choice(["x" * 200, "y" * 55, "z"])
+        texts.append(" ".join([words(rng, rng.randrange(30), 300), *own, "q" * rng.choice([1, 55, 200]), words(rng, rng.randrange(30), 300)]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.contaminations(docs_of(spark, *texts, *ODD), bench).collect()
+    got = {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in rows}
+    want = {(d, i): v for d, text in enumerate(texts) for i, v in every_window(text, items).items()}
+    assert len(want) > 30 and got == want
+
+
 # --- 8 ---------------------------------------------------------------------------------------
 
 

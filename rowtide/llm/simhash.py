@@ -11,8 +11,8 @@ are joined to components on the cluster.
 ``one_of_each`` is the same search for a similarity of shingle sets, whose fingerprints differ in more
 bits than blocks can hold. Its shards are the fingerprints whose documents have a certain shingle
 among their few least ones by hash, which sets of that similarity nearly always share; links in the
-radius are verified by the least 128 shingles (all of them, in short documents). A shingle that too
-many documents have among theirs is taken together with the next one.
+radius are verified by the least 128 shingles (all of them, in short documents). A shingle that many
+documents have among theirs makes a large shard, which is cut into pieces that all meet.
 
 Nulls and ties: a null text has no words, and a document without words has fingerprint zero, which
 links like any other. Rows without a doc_id get the component of their fingerprint, null if nothing
@@ -197,34 +197,30 @@ def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, c
 
 
 def sketched(documents: DataFrame, size: int) -> DataFrame:
-    """Own columns as _d0, _d1, ..., a row number, fp, the sketch and the shard keys with their refined form."""
+    """Own columns as _d0, _d1, ..., a row number, fp, the sketch and the shard keys."""
     names = documents.columns
     text = names.index("text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sketches, keys, refined = [], [], [], []
+            fps, sketches, keys = [], [], []
             for value in batch.column(text).cast(pa.string()):
                 hashes = shingle_hashes(value.as_py(), size)
                 fps.append(majority(hashes))
                 least = np.unique(np.unique(hashes)[: 2 * SKETCH] >> np.uint64(32))[:SKETCH].astype(np.uint32)
                 sketches.append(least.tobytes())
-                some = least[: KEYS + 1].astype(np.int64)
-                after = np.append(some[1:], 0)[: len(some)]
-                keys.append(some[:KEYS].tolist())
-                refined.append((some << 31 ^ after)[:KEYS].tolist())
+                keys.append(least[:KEYS].astype(np.int64).tolist())
             added = [
                 pa.array(np.array(fps, np.uint64).view(np.int64)),
                 pa.array(sketches, pa.binary()),
                 pa.array(keys, pa.list_(pa.int64())),
-                pa.array(refined, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "sketch", "keys", "refined"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "sketch", "keys"])
 
     kept = [f"_d{i}" for i in range(len(names))]
     own = documents.toDF(*kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
-    rows = own.mapInArrow(hashed, f"{fields}, fp long, sketch binary, keys array<long>, refined array<long>")
+    rows = own.mapInArrow(hashed, f"{fields}, fp long, sketch binary, keys array<long>")
     return rows.withColumn("_row", F.monotonically_increasing_id())
 
 
@@ -234,7 +230,8 @@ def one_of_each(
     """The documents without near copies of that similarity: of each component the least doc_id stays.
 
     Of rows that share it the first as written stays; where no row of a component has an id, its
-    first row. Own columns come back as they were.
+    first row. Own columns come back as they were. A key that more than ``common`` documents have is
+    cut into pieces, and every two of them meet.
     """
     prepare(documents.sparkSession)
     names = documents.columns
@@ -243,16 +240,9 @@ def one_of_each(
     first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))).alias("first")
     distinct = stage(rows.groupBy("fp").agg(first))
     # Rows of one fingerprint are one node; the sketch of its first row stands for all.
-    nodes = stage(
-        distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys", "refined"), "_row")
-    )
-    nodes = nodes.select("fp", "sketch", F.explode(F.arrays_zip("keys", "refined")).alias("k"))
-    nodes = nodes.select(F.col("k.keys").alias("key"), F.col("k.refined").alias("refined"), "fp", "sketch")
-    hot = stage(nodes.groupBy(F.col("key").alias("hot")).count().where(F.col("count") > common).select("hot"))
-    keyed = nodes.join(hot, F.col("key") == F.col("hot"), "left").select(
-        F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.col("refined")).alias("key"), "fp", "sketch"
-    )
-    links = stage(star_links(split_shards(keyed, capacity), radius, similarity))
+    nodes = stage(distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys"), "_row"))
+    keyed = nodes.select(F.explode("keys").alias("key"), "fp", "sketch")
+    links = stage(star_links(split_shards(keyed, min(common, capacity)), radius, similarity))
     roots = components(links).select(F.col("u").alias("fp"), "root")
     rooted = distinct.join(roots, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))

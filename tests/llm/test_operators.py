@@ -124,6 +124,32 @@ def test_one_of_each_near_copy_stays(spark):
     assert sorted(r.doc_id for r in common.collect()) == [*range(20), 45]
 
 
+def shingle_set(text, size=5):
+    found = text.lower().split()
+    return {" ".join(found[i : i + size]) for i in range(len(found) - size + 1)} or {" ".join(found)}
+
+
+def kept_by_all_pairs(texts, similarity=0.8):
+    """Least place of every component of texts whose shingle sets are that similar."""
+    sets, label = [shingle_set(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if label[i] != label[j] and len(a & b) / len(a | b) >= similarity:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return sorted(set(label))
+
+
+def test_common_keys_lose_no_near_copy(spark):
+    rng = random.Random(31)
+    base = [words(rng, 60) for _ in range(150)]
+    place = [rng.randrange(10, 50) for _ in base]
+    copies = [" ".join(w if k != p else "changed" for k, w in enumerate(b.split())) for b, p in zip(base, place, strict=True)]
+    texts = [f"{t} one passage that all of these have at their end" for t in [*base, *copies]]
+    kept = simhash.one_of_each(docs_of(spark, *texts), common=1)
+    assert sorted(r.doc_id for r in kept.collect()) == kept_by_all_pairs(texts) == list(range(150))
+
+
 # --- 2 ---------------------------------------------------------------------------------------
 
 

@@ -8,11 +8,12 @@ fingerprints are cut into pieces and every two pieces meet in a tree of their ow
 larger than that and no link is lost. Trees give the components of their shard as stars; the stars
 are joined to components on the cluster.
 
-``one_of_each`` is the same search for a similarity of shingle sets, whose fingerprints differ in more
-bits than blocks can hold. Its shards are the fingerprints whose documents have a certain shingle
-among their few least ones by hash, which sets of that similarity nearly always share; links in the
-radius are verified by the least 128 shingles (all of them, in short documents). A shingle that many
-documents have among theirs makes a large shard, which is cut into pieces that all meet.
+``one_of_each`` links by the similarity of shingle sets. Texts meet that share one of their ``KEYS``
+least shingles by hash, which sets of that similarity nearly always do; a key of one text is dropped
+before any text is moved, and of keys with the same texts one is kept. The task of a key makes the
+whole sets from the texts again and decides by their exact Jaccard similarity. Texts with the same
+set are one node. A shingle that many texts have among theirs makes a large shard, which is cut into
+pieces that all meet.
 
 Nulls and ties: a null text has no words, and a document without words has fingerprint zero, which
 links like any other. Rows without a doc_id get the component of their fingerprint, null if nothing
@@ -41,8 +42,8 @@ CAPACITY = 16_384
 #: Fingerprints a shard should have on average at most, by which the number of blocks is chosen.
 TYPICAL = 2_048
 _SEED = 42
-#: Least shingle hashes that are kept of a document, and how many of them are shard keys.
-SKETCH, KEYS = 128, 4
+#: Least shingle hashes of a document that are shard keys, and bytes of text a shard and a task should hold.
+KEYS, SHARD_BYTES = 10, 16 << 20
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -120,19 +121,12 @@ def split_shards(entries: DataFrame, capacity: int) -> DataFrame:
     return entries.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp", *more)
 
 
-def star_links(entries: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
-    """u, v: in every shard each fingerprint with one of its component there.
-
-    Above zero, ``similarity`` is asked of the entries' sketches besides.
-    """
+def star_links(entries: DataFrame, radius: int) -> DataFrame:
+    """u, v: in every shard each fingerprint with one of its component there."""
 
     def links(rows: pa.Table) -> pa.RecordBatch:
         fp = rows.column("fp").to_numpy()
-        linked = None
-        if similarity:
-            sketches = Sketches(rows.column("sketch").to_pylist())
-            linked = lambda a, b: sketches.similarity(a, b) >= similarity
-        label = Trees(rows.column("shard").to_numpy(), fp.view(np.uint64)).components(radius, linked)
+        label = Trees(rows.column("shard").to_numpy(), fp.view(np.uint64)).components(radius)
         own = np.flatnonzero(label != np.arange(len(fp)))
         return pa.RecordBatch.from_arrays([pa.array(fp[own]), pa.array(fp[label[own]])], names=["u", "v"])
 
@@ -155,30 +149,66 @@ def star_links(entries: DataFrame, radius: int, similarity: float = 0.0) -> Data
     return placed.mapInArrow(search, "u long, v long").distinct()
 
 
-class Sketches:
-    """The least shingle hashes of documents, as sorted rows filled up with a value of their own."""
-
-    def __init__(self, sketches: list[bytes]):
-        self.size = np.array([len(s) // 4 for s in sketches])
-        self.rows = np.empty((len(sketches), SKETCH), np.uint64)
-        for i, sketch in enumerate(sketches):
-            n = self.size[i]
-            self.rows[i, :n] = np.frombuffer(sketch, "<u4")
-            self.rows[i, n:] = (1 << 33) + i * SKETCH + np.arange(SKETCH - n)
-
-    def similarity(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Share of common values among the least of both: the Jaccard similarity, exact for full sets."""
-        out = np.empty(len(a))
-        for at in range(0, len(a), 4096):
-            i, j = a[at : at + 4096], b[at : at + 4096]
-            both = np.sort(np.concatenate((self.rows[i], self.rows[j]), axis=1), axis=1)
-            twice = np.concatenate((both[:, 1:] == both[:, :-1], np.zeros((len(i), 1), bool)), axis=1)
-            first = np.concatenate((np.ones((len(i), 1), bool), ~twice[:, :-1]), axis=1)
-            whole = (self.size[i] < SKETCH) & (self.size[j] < SKETCH)
-            least = np.where(whole, 2 * SKETCH, SKETCH)[:, None]
-            counted = first & (np.cumsum(first, axis=1) <= least) & (both < 1 << 32)
-            out[at : at + 4096] = (counted & twice).sum(axis=1) / np.maximum(1, counted.sum(axis=1))
-        return out
+def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each of these sorted sets one of its component, by links of that Jaccard similarity.
+
+    Sets that a component has are not compared again, and leave the index when half of it has gone.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    label, free = np.arange(len(sets)), np.ones(len(sets), bool)
+    indexed, values, owners = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for seed in range(len(sets)):
+        if not free[seed]:
+            continue
+        free[seed] = False
+        queue = [seed]
+        while queue and (left := int(free.sum())):
+            if indexed < 0 or 2 * left < indexed:
+                rest = np.flatnonzero(free)
+                values, owners, indexed = np.concatenate([sets[i] for i in rest]), np.repeat(rest, sizes[rest]), left
+                order = np.argsort(values, kind="stable")
+                values, owners = values[order], owners[order]
+            own = sets[at := queue.pop()]
+            low, high = np.searchsorted(values, own), np.searchsorted(values, own, side="right")
+            many = high - low
+            places = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            common = np.bincount(owners[places], minlength=len(sets))
+            found = np.flatnonzero(free & (common / np.maximum(1, sizes + sizes[at] - common) >= similarity))
+            label[found], free[found] = seed, False
+            queue += found.tolist()
+    return label
+
+
+def similar_links(entries: DataFrame, size: int, similarity: float) -> DataFrame:
+    """u, v: in every shard of entries (shard, fp, text) each text's fp with one of its component there."""
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        shard, fp = rows.column("shard").to_numpy(), rows.column("fp").to_numpy()
+        label = np.arange(len(fp))
+        cuts = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)], strict=True):
+            if b - a > 1:
+                sets = [np.unique(shingle_hashes(t.as_py(), size)) for t in rows.column("text").slice(a, b - a)]
+                label[a:b] = a + alike(sets, similarity)
+        own = np.flatnonzero(label != np.arange(len(fp)))
+        return pa.RecordBatch.from_arrays([pa.array(fp[own]), pa.array(fp[label[own]])], names=["u", "v"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= SHARD_BYTES:
+                rows = pa.Table.from_batches(held)
+                shard = rows.column("shard").to_numpy()
+                last = int(np.searchsorted(shard, shard[-1]))
+                if last:
+                    yield links(rows.slice(0, last))
+                    held = rows.slice(last).combine_chunks().to_batches()
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    placed = entries.repartition("shard").sortWithinPartitions("shard", "fp")
+    return placed.mapInArrow(search, "u long, v long").distinct()
 
 
 def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, capacity: int = CAPACITY) -> DataFrame:
@@ -196,36 +226,36 @@ def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, c
     )
 
 
-def sketched(documents: DataFrame, size: int) -> DataFrame:
-    """Own columns as _d0, _d1, ..., a row number, fp, the sketch and the shard keys."""
+def keyed_rows(documents: DataFrame, size: int) -> DataFrame:
+    """Own columns as _d0, _d1, ..., a row number, fp (of the shingle set), the bytes of the text and the shard keys."""
     names = documents.columns
     text = names.index("text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sketches, keys = [], [], []
+            fps, sizes, keys = [], [], []
             for value in batch.column(text).cast(pa.string()):
-                hashes = shingle_hashes(value.as_py(), size)
-                fps.append(majority(hashes))
-                least = np.unique(np.unique(hashes)[: 2 * SKETCH] >> np.uint64(32))[:SKETCH].astype(np.uint32)
-                sketches.append(least.tobytes())
-                keys.append(least[:KEYS].astype(np.int64).tolist())
+                value = value.as_py() or ""
+                hashes = np.unique(shingle_hashes(value, size))
+                fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), _SEED))
+                sizes.append(len(value.encode("utf-8", "surrogatepass")))
+                keys.append(hashes[:KEYS].view(np.int64).tolist())
             added = [
                 pa.array(np.array(fps, np.uint64).view(np.int64)),
-                pa.array(sketches, pa.binary()),
+                pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "sketch", "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "bytes", "keys"])
 
     kept = [f"_d{i}" for i in range(len(names))]
     own = documents.toDF(*kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
-    rows = own.mapInArrow(hashed, f"{fields}, fp long, sketch binary, keys array<long>")
+    rows = own.mapInArrow(hashed, f"{fields}, fp long, bytes long, keys array<long>")
     return rows.withColumn("_row", F.monotonically_increasing_id())
 
 
 def one_of_each(
-    documents: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 16, capacity: int = CAPACITY, common: int = 4_000
+    documents: DataFrame, size: int = 5, similarity: float = 0.8, capacity: int = CAPACITY, common: int = 4_000
 ) -> DataFrame:
     """The documents without near copies of that similarity: of each component the least doc_id stays.
 
@@ -235,14 +265,24 @@ def one_of_each(
     """
     prepare(documents.sparkSession)
     names = documents.columns
-    rows = stage(sketched(documents, size))
+    rows = stage(keyed_rows(documents, size))
     doc_id = F.col(f"_d{names.index('doc_id')}").cast("long")
     first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))).alias("first")
-    distinct = stage(rows.groupBy("fp").agg(first))
-    # Rows of one fingerprint are one node; the sketch of its first row stands for all.
-    nodes = stage(distinct.select(F.col("first.row").alias("_row")).join(rows.select("_row", "fp", "sketch", "keys"), "_row"))
-    keyed = nodes.select(F.explode("keys").alias("key"), "fp", "sketch")
-    links = stage(star_links(split_shards(keyed, min(common, capacity)), radius, similarity))
+    # Rows of one set have the same keys.
+    distinct = stage(rows.groupBy("fp").agg(first, F.first("keys").alias("keys"), F.max("bytes").alias("bytes")))
+    keyed = distinct.select(F.explode("keys").alias("key"), "fp", F.col("first.row").alias("_row"), "bytes")
+    texts = F.expr("sum(cast(xxhash64(fp) as decimal(38, 0)))").alias("texts")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("held"), texts).where("n > 1")
+    shared = stage(shared.groupBy("n", "texts").agg(F.min("key").alias("key"), F.max("held").alias("held")))
+    pieces = F.ceil(2.5 * F.greatest(F.col("n") / min(common, capacity), F.col("held") / SHARD_BYTES)).cast("int")
+    large = (F.col("n") > min(common, capacity)) | (F.col("held") > SHARD_BYTES)
+    shared = shared.select("key", F.when(large, pieces).otherwise(1).alias("pieces"))
+    entries = keyed.join(shared, "key").withColumn("own", F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces")).cast("int"))
+    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    entries = entries.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp", "_row")
+    text = F.col(f"_d{names.index('text')}").cast("string").alias("text")
+    entries = entries.join(rows.select("_row", text), "_row").select("shard", "fp", "text")
+    links = stage(similar_links(entries, size, similarity))
     roots = components(links).select(F.col("u").alias("fp"), "root")
     rooted = distinct.join(roots, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))

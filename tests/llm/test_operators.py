@@ -140,6 +140,17 @@ def kept_by_all_pairs(texts, similarity=0.8):
     return sorted(set(label))
 
 
+def test_long_near_copies_match_all_pairs(spark):
+    rng = random.Random(33)
+    texts = []
+    for k in range(120):
+        text = words(rng, 500 + 20 * (k % 3)).split()
+        cut = len(text) * rng.choice([18, 19, 20, 21, 22]) // 100
+        texts += [" ".join(text), " ".join([*text[:-cut], *(words(rng, cut).split() if k % 2 else [])])]
+    kept = sorted(r.doc_id for r in simhash.one_of_each(docs_of(spark, *texts)).collect())
+    assert 130 < len(kept) < 230 and kept == kept_by_all_pairs(texts)
+
+
 def test_common_keys_lose_no_near_copy(spark):
     rng = random.Random(31)
     base = [words(rng, 60) for _ in range(150)]

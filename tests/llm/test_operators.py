@@ -347,6 +347,19 @@ def test_furniture_is_left_out():
         html_text.page_text(broken)
 
 
+@pytest.mark.parametrize("page", [
+    "<div id=page class='site has-sidebar'><article><p>kept</p></article><div class=sidebar>s</div></div>",
+    "<div class=no-sidebar><p>kept</p></div>",
+    "<main class=search-results><p>kept</p></main>",
+    "<article class='post comments-open'><p>kept</p><div class=comments-area>c</div></article>",
+    "<div class='widget'><nav>n</nav><main class=search><p>kept</p><div class=share-buttons>s</div></main></div>",
+    "<main><p>kept</p></main><div class=sidebar><article><p>teaser</p></article></div><div class=main-menu>m</div>",
+    "<body><aside><article>other</article></aside><div class=main-content><p>kept</p></div></body>",
+])
+def test_names_of_something_else_drop_nothing(page):
+    assert html_text.page_text(page) == "kept"
+
+
 def test_template_text_is_deduced(spark):
     rng = random.Random(9)
     page = lambda i: (

@@ -38,8 +38,8 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 ARCHIVE_BYTES = 32 << 20
 RANGE_BYTES = 4 << 20
 _STEP = 1 << 16
-#: A header that has not ended within so many bytes is none.
-_HEADER = 1 << 16
+#: What a header can begin with that has not ended yet: whole fields, then a field or a part of a name.
+_FIELDS = re.compile(rb"(?:[!-9;-~]+:[^\r\n]*+\r\n)*+(?:[!-9;-~]+:[^\r\n]*+|[!-9;-~]*+)\r?(?:\n\r?)?\Z")
 
 
 def payload_digest(payload: bytes) -> str:
@@ -140,7 +140,7 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
     if window.get(at, 3) != MAGIC:
         return None
     unpack, got, place, head_end = zlib.decompressobj(31), [], at, -1
-    start = b""
+    start, checked = bytearray(), len(VERSION)
     try:
         while not unpack.eof:
             data = window.get(place, _STEP)
@@ -153,9 +153,10 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
                 start += piece
                 if not (start.startswith(VERSION) or len(start) < len(VERSION)):
                     return None
-                head_end = start.find(b"\r\n\r\n")
-                if head_end < 0 and len(start) > _HEADER:
+                head_end = start.find(b"\r\n\r\n", max(0, len(start) - len(piece) - 3))
+                if head_end < 0 and len(start) > len(VERSION) and not _FIELDS.match(start, checked):
                     return None
+                checked = max(checked, start.rfind(b"\n") + 1)
     except zlib.error:
         return None
     if head_end < 0:
@@ -269,4 +270,8 @@ def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0, archive_byt
     spark = prepare(pages.sparkSession)
     folder = shared_folder(spark)
     files = stage(write_archives(record_kinds(pages, min_revisit_bytes), folder, archive_bytes))
-    return read_archives(files, payloads=False)
+    records = stage(read_archives(files, payloads=False))
+    written, read = files.agg(F.sum("n_records")).first()[0] or 0, records.count()
+    if read != written:
+        raise ValueError(f"{read} records were read of {written} written")
+    return records

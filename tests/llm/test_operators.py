@@ -610,6 +610,14 @@ def test_archives_of_odd_pages(spark):
     assert warc.archive_round_trip(frame.limit(0)).count() == 0
 
 
+def test_headers_of_any_length_are_read(spark):
+    rng = random.Random(14)
+    urls = [f"data:{rng.randbytes(n).hex()}" for n in (10, 150_000, 40, 400_000, 20)]
+    pages = [(i, url, f"page {i}") for i, url in enumerate(urls)]
+    got = warc.archive_round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.url) for r in got) == list(enumerate(urls))
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 

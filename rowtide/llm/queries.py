@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import chat, decontaminate, html_text, mixing, quality, secrets, simhash, substrings, token_files, warc
+from rowtide.llm import (
+    chat, decontaminate, html_text, mixing, passages, quality, secrets, simhash, substrings, token_files, warc,
+)
 from rowtide.llm.shared import table
 
 END_ID = 2
@@ -60,6 +62,15 @@ def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeated_windows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op4_secret_forest, op5_soft_mixing, op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges)
+    query.__name__: query
+    for query in (
+        op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op4_secret_forest, op5_soft_mixing,
+        op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges,
+        op11_repeated_windows,
+    )
 }

@@ -70,7 +70,7 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
-def _pieces(raw: bytes) -> Iterator[bytes]:
+def pieces(raw: bytes) -> Iterator[bytes]:
     """The text in parts of about PIECE_BYTES, cut where a word ends; bytes.split knows no other white space."""
     begin = 0
     while True:
@@ -192,7 +192,7 @@ def slices(documents: DataFrame, folder: str, window: int, lots: int) -> DataFra
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                rows.extend((doc_id, k == 0, piece) for k, piece in enumerate(_pieces(raw)))
+                rows.extend((doc_id, k == 0, piece) for k, piece in enumerate(pieces(raw)))
                 held += len(raw)
                 if held >= SLICE_BYTES:
                     yield flush()

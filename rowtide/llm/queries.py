@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.llm import (
-    chat, decontaminate, html_text, mixing, passages, quality, secrets, simhash, substrings, token_files, warc,
+    chat, decontaminate, html_text, mixing, passages, periods, quality, secrets, simhash, substrings, token_files, warc,
 )
 from rowtide.llm.shared import table
 
@@ -66,11 +67,21 @@ def op11_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeated_windows(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(periods.with_planted_runs(table(spark, sf_dir, "documents")))
+    found = found.withColumn("top", periods.greatest_run(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        periods.runs_digest(F.col("runs")).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op4_secret_forest, op5_soft_mixing,
         op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges,
-        op11_repeated_windows,
+        op11_repeated_windows, op12_periodic_runs,
     )
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import (
-    chat, decontaminate, html_text, mixing, passages, periods, quality, secrets, simhash, substrings, token_files, warc,
+    chat, decontaminate, html_text, mixing, passages, periods, quality, secrets, simhash, spelling, substrings, token_files, warc,
 )
 from rowtide.llm.shared import table
 
@@ -77,11 +77,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damaged=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_simhash_components, op2_chat_snapshots, op3_divergence_rules, op4_secret_forest, op5_soft_mixing,
         op6_template_classes, op7_benchmark_windows, op8_token_files, op9_repeated_substrings, op10_warc_ranges,
-        op11_repeated_windows, op12_periodic_runs,
+        op11_repeated_windows, op12_periodic_runs, op13_spelling_variants,
     )
 }

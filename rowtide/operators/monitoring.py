@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowtide.functions.avro_size import record_size
@@ -110,10 +110,20 @@ def reported_delay(routed: DataFrame, now: Column, by: Sequence[str]) -> DataFra
 
 def send_stats(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number and encoded bytes of the records sent per flush."""
+    return records.groupBy(*by).agg(*_send_totals(records))
+
+
+def observed_sends(records: DataFrame, totals: Observation) -> DataFrame:
+    """The records, with ``send_num`` and ``send_size`` of those with a key counted as they are written."""
+    return records.observe(totals, *_send_totals(records, F.col("key").isNotNull()))
+
+
+def _send_totals(records: DataFrame, sent: Column | None = None) -> list[Column]:
     size = F.octet_length("value") if "value" in records.columns else record_size()
-    return records.groupBy(*by).agg(
-        F.count("*").alias("send_num"), F.sum(size.cast("bigint")).alias("send_size")
-    )
+    one, size = F.lit(1), size.cast("bigint")
+    if sent is not None:
+        one, size = F.when(sent, one), F.when(sent, size)
+    return [F.count(one).alias("send_num"), F.sum(size).alias("send_size")]
 
 
 def fetch_per_minute(fetch_log: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import monitoring as M
@@ -27,6 +27,7 @@ from rowtide.session import prepare_session
 from rowtide.sinks.tables import read_positions_before, write_by_topic
 from rowtide.sources.tables import from_positions
 from rowtide.sources.wire import DECODE_ERROR, decode_envelopes, decoded_ok, undecodable
+from rowtide.streaming.monitor import observed
 
 
 @dataclass(frozen=True)
@@ -82,19 +83,23 @@ class ConversionJob:
         # envelopes; both are kept, so that the source is read and converted once.
         batch = batch.persist()
         numbered = numbered_images(batch, self.routes, self.options, starts).persist()
+        sent = None
         try:
             began = self.timer()
-            records = records_of(numbered, now, self.options)
+            totals = Observation()
+            records = M.observed_sends(records_of(numbered, now, self.options), totals)
             write_by_topic(records, self.path("records", epoch, run), "overwrite")
             took = int((self.timer() - began) * 1000)
-            # What follows counts what was written.
-            sent = with_key(self._written(spark, records, epoch, run))
+            # Totals were taken on the way out; rows per topic and source are counted over what was
+            # written, for which the files' key and place are enough.
+            sent = with_key(self._written(spark, records, epoch, run)).groupBy("topic", *SOURCE)
+            sent = sent.agg(F.count("*").alias("sent")).persist()
             self._write(ddl_log(numbered), "ddl", epoch, run)
             if bad is not None:
                 self._write(bad, "undecodable", epoch, run)
-            monitor = self._monitor(numbered, sent, fetched, bad, now, took)
+            monitor = self._monitor(numbered, sent, totals.get, fetched, bad, now, took)
             self._write(M.monitor_message(monitor), "monitor", epoch, run)
-            sent_rows = sent.groupBy(*SOURCE).agg(F.count("*").alias("sent"))
+            sent_rows = sent.groupBy(*SOURCE).agg(F.sum("sent").alias("sent"))
             positions = next_positions(fetched, numbered, starts).join(sent_rows, list(SOURCE), "left")
             made = {"job": F.lit(self.job), "step": F.lit(step).cast("bigint"), "written_at": F.lit(now).cast("bigint")}
             made["sent"] = F.coalesce("sent", F.lit(0).cast("bigint"))
@@ -102,6 +107,8 @@ class ConversionJob:
                 positions.select(*[made.get(c, F.col(c)).alias(c) for c in POSITIONS.names]), "positions", epoch, run
             )
         finally:
+            if sent is not None:
+                sent.unpersist()
             numbered.unpersist()
             batch.unpersist()
             if bad is not None:
@@ -123,21 +130,21 @@ class ConversionJob:
         df.write.mode("overwrite").parquet(self.path(table, epoch, run))
 
     def _monitor(
-        self, numbered: DataFrame, sent: DataFrame, fetched: DataFrame,
+        self, numbered: DataFrame, sent: DataFrame, totals: dict, fetched: DataFrame,
         bad: DataFrame | None, now: int, took: int,
     ) -> DataFrame:
         """The flush as monitor records of all kinds."""
         flush = numbered.withColumn("flush", F.lit(0))
         topics = self.routes.where(F.col("topic").isNotNull()).select(F.col("topic").alias("name")).distinct()
-        counted = sent.groupBy(F.col("topic").alias("name")).agg(F.count("*").alias("value"))
+        counted = sent.groupBy(F.col("topic").alias("name")).agg(F.sum("sent").alias("value"))
         # Topics of the routes that got nothing report 0.
         rows = topics.join(counted, "name", "full").withColumn("value", F.coalesce("value", F.lit(0)))
         delay = M.reported_delay(flush, F.lit(now), ["flush"]).select(
             F.col("topic").alias("name"), F.col("reported_delay_ms").alias("value")
         )
         last = delay.where(F.col("name") == M.BATCH_DELAY_NAME).agg(F.max("value").alias("d"))
-        totals = M.send_stats(sent).select(
-            F.col("send_num").alias("n"), F.coalesce("send_size", F.lit(0)).alias("size"),
+        totals = numbered.sparkSession.range(1).select(
+            F.lit(totals["send_num"] or 0).alias("n"), F.lit(totals["send_size"] or 0).alias("size"),
             F.lit(took).alias("took"), F.coalesce(last.scalar(), F.lit(0)).alias("delay"),
         )
         totals = M.measures(totals, dict(zip(M.SEND_MEASURES, ("n", "size", "took", "delay"), strict=True)))
@@ -162,11 +169,14 @@ class ConversionJob:
         return F.greatest(F.lit(0), F.coalesce(beyond, F.lit(0))).cast("bigint").alias("lag")
 
     def start(self, envelopes: DataFrame, checkpoint: str, **trigger):
-        """Start the query; ``trigger`` as for ``writeStream.trigger``, a second by default."""
+        """Start the query; ``trigger`` as for ``writeStream.trigger``, a second by default.
+
+        A ``JobMonitor`` of this job's name, added to ``spark.streams``, gets its fetch totals.
+        """
         from rowtide.sinks.topics import flush_trigger
 
         return (
-            envelopes.writeStream.foreachBatch(self.process)
+            observed(envelopes).writeStream.foreachBatch(self.process)
             .option("checkpointLocation", checkpoint)
             .queryName(self.job)
             .trigger(**(trigger or flush_trigger()))

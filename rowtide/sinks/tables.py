@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from rowtide.functions.text import position_text
 from rowtide.operators.ordering import SOURCE, running_row_key, source_of
 from rowtide.options import DEFAULT_WIDTHS
+from rowtide.schemas import POSITIONS
+from rowtide.sinks.commits import read_committed
 
 
 def write_by_topic(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -32,22 +34,19 @@ def stored_entries(
     return numbered.select(*source_of(numbered), "entry_row", F.col(value).alias("value"))
 
 
-def read_positions_before(spark: SparkSession, path: str, run: str, epoch: int) -> DataFrame | None:
+def read_positions_before(spark: SparkSession, out: str, run: str, epoch: int) -> DataFrame | None:
     """Position rows of the step before this epoch of this run; None where there is none.
 
     A run is the life of one checkpoint folder, and its epochs count from 0. Steps count on over
     the runs of a job. Normally the step before is the run's epoch before; only at the start of a
-    run all positions are read for the newest step that is not this epoch's own, from an attempt
-    before.
+    run all positions are read for the newest step. Epochs that were never published do not count:
+    what they wrote is written anew.
     """
-    last = _parquet_if_there(spark, f"{path}/run={run}/epoch={epoch - 1}")
+    last = _parquet_if_there(spark, f"{out}/positions/run={run}/epoch={epoch - 1}")
     if last is not None and not last.isEmpty():
         return last
-    table = _parquet_if_there(spark, path)
-    if table is None:
-        return None
-    own = (F.col("run") == run) & (F.col("epoch") >= epoch)
-    earlier = table.withColumn("run", F.col("run").cast("string")).where(~own)
+    table = read_committed(spark, out, "positions", POSITIONS)
+    earlier = table.where(~((F.col("run") == run) & (F.col("epoch") >= epoch)))
     newest = earlier.agg(F.max("step")).first()[0]
     return None if newest is None else earlier.where(F.col("step") == newest)
 

@@ -50,3 +50,18 @@ def with_numeric_partition(messages: DataFrame, partitions: int) -> DataFrame:
     return messages.withColumn(
         "partition", numeric_suffix_partition(F.col("key"), partitions).cast("int")
     )
+
+
+def placed(messages: DataFrame, partitions: int, order: tuple[str, ...] = ("key",)) -> DataFrame:
+    """Messages with a ``partition`` column as one Spark partition per topic partition, in order.
+
+    The number itself places a row, it is not hashed again: task i has the messages of partition i and
+    no others, and empty partitions are empty tasks. A hot partition is one task, as it is one log;
+    sorting spills. Each task of ``write_placed`` leaves the files of its partition.
+    """
+    return messages.repartitionById(partitions, F.col("partition").cast("int")).sortWithinPartitions(*order)
+
+
+def write_placed(messages: DataFrame, path: str, partitions: int, order: tuple[str, ...] = ("key",)) -> None:
+    """Files by topic partition, each in order; a file holds one partition."""
+    placed(messages, partitions, ("partition", *order)).write.partitionBy("partition").parquet(path)

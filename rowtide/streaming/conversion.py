@@ -1,9 +1,10 @@
 """The conversion as a streaming query.
 
 Each micro-batch runs the batch operators with the values at the last position, writes its
-outputs under its run and epoch and the position row last. A repeated epoch starts from the same
-position and overwrites its own outputs, so tables see every record once; a topic may see it
-again, as with any restart.
+outputs under its run and epoch, the position row last, and then publishes the epoch. An epoch that
+was not published starts again from the same position and overwrites its own outputs; one that was
+is left as it is. So readers of published epochs see every record once and never half an epoch; a
+topic may see a record again, as with any restart.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from rowtide.options import ConvertOptions
 from rowtide.plans.convert import numbered_images, records_of
 from rowtide.schemas import POSITIONS
 from rowtide.session import prepare_session
+from rowtide.sinks.commits import is_published, publish
 from rowtide.sinks.tables import read_positions_before, write_by_topic
 from rowtide.sources.tables import from_positions
 from rowtide.sources.wire import DECODE_ERROR, decode_envelopes, decoded_ok, undecodable
@@ -60,7 +62,7 @@ class ConversionJob:
 
     def starts(self, spark: SparkSession, epoch: int, run: str = "0") -> DataFrame | None:
         """Position rows to start this epoch from."""
-        found = read_positions_before(spark, self.path("positions"), run, epoch)
+        found = read_positions_before(spark, self.out, run, epoch)
         return self.initial if found is None else found
 
     def process(self, batch: DataFrame, epoch: int, run: str | None = None) -> None:
@@ -68,6 +70,8 @@ class ConversionJob:
         spark = prepare_session(batch.sparkSession)
         # Spark gives each checkpoint folder an id and tells it to the batches it runs.
         run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+        if is_published(self.out, run, epoch):
+            return  # a replay: what the epoch wrote is there and may be read by now
         now = int(self.clock(epoch))
         starts = self.starts(spark, epoch, run)
         step = self._next_step(starts)
@@ -106,6 +110,8 @@ class ConversionJob:
             self._write(
                 positions.select(*[made.get(c, F.col(c)).alias(c) for c in POSITIONS.names]), "positions", epoch, run
             )
+            tables = ("records", "ddl", "monitor", "positions", *(("undecodable",) if bad is not None else ()))
+            publish(self.out, run, epoch, tables)
         finally:
             if sent is not None:
                 sent.unpersist()

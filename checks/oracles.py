@@ -358,7 +358,7 @@ def _topic_json(name: str, value: str) -> str:
 
 
 def oracles() -> dict[str, str]:
-    return {
+    sql = {
         "s1_tail_from_position": f"""{_ON_LOG},
             starts AS (SELECT src_partition AS p, max(src_offset) // 2 AS start FROM env GROUP BY 1)
             SELECT src_partition, src_offset, batch_id, in_id FROM env
@@ -710,3 +710,25 @@ def oracles() -> dict[str, str]:
             SELECT CAST(CASE WHEN o_orderkey % 5 > 1 THEN o_orderkey % 12 ELSE 0 END AS INTEGER) AS partition,
               count(*) AS messages FROM orders GROUP BY 1""",
     }
+    sql |= {
+        "s1_live_tail": """
+            WITH m AS (SELECT CAST(event_id % 4 AS INTEGER) AS src_partition, event_id // 4 AS src_offset, props AS value FROM events),
+            kept AS (SELECT *, max(src_offset) OVER (PARTITION BY src_partition) + 1 AS latest_offset FROM m
+              WHERE src_partition != 0 OR src_offset >= 50)
+            SELECT src_partition, src_offset, latest_offset, value FROM kept
+            WHERE src_partition IN (0, 3) OR src_partition = 1 AND src_offset >= 150""",
+        "a9_live_totals": """
+            SELECT count(*) AS fetch_num, CAST(sum(strlen(props)) AS BIGINT) AS fetch_size, CAST(0 AS BIGINT) AS delay_num FROM events""",
+        "k3_committed_epochs": """
+            SELECT event_id, event_type AS topic, event_id // 1024 AS epoch FROM events
+            WHERE event_id // 1024 < 10 OR event_id // 1024 % 2 = 0""",
+        "s5_zone_scan": """
+            WITH e AS (SELECT event_id AS event_row, CASE WHEN event_id % 997 = 500 THEN NULL
+                WHEN event_id % 499 = 3 THEN '' ELSE props END AS event_text FROM events),
+            starts AS (SELECT unnest([100, 501, 1498]) AS start),
+            stops AS (SELECT start, coalesce(min(event_row) FILTER (WHERE event_text IS NULL AND event_row >= start
+                AND event_row < start + 1000), start + 1000) AS stop FROM e, starts GROUP BY start)
+            SELECT start, event_row, event_text FROM e, stops WHERE event_row >= start AND event_row < stop""",
+        "p1_placed_messages": f"SELECT partition AS task, key, messages FROM ({sql['p1_key_partitions']})",
+    }
+    return sql

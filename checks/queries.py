@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
+import tempfile
+import time
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -22,13 +26,17 @@ from rowtide.operators import records as R
 from rowtide.operators import routing as G
 from rowtide.plans import convert as P
 from rowtide.plans import stored as D
+from rowtide.sinks import commits as KC
+from rowtide.sinks import store as KS
 from rowtide.sinks import tables as KT
 from rowtide.sinks import topics as KP
 from rowtide.sources import config as SC
 from rowtide.sources import json_changes as SJ
 from rowtide.sources import positions as SP
 from rowtide.sources import tables as ST
+from rowtide.sources import topic_log as SL
 from rowtide.sources import wire as SW
+from rowtide.streaming import monitor as LM
 from rowtide.streaming.conversion import next_positions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -729,3 +737,104 @@ def p2_suffix_partitions(spark, sf_dir):
     )
     placed = KP.with_numeric_partition(orders, 12)
     return placed.groupBy("partition").agg(F.count("*").alias("messages"))
+
+
+# --- live source, epochs, store and placement ------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder below the shared one; a local session without it gets one of its machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = Path(tempfile.mkdtemp(prefix="rowtide-")).as_uri()
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def _streamed(spark: SparkSession, log: str, work: str, name: str, **options) -> DataFrame:
+    """What a query of limited batches has read of the log when it has read all."""
+    checkpoint = f"{work}/checkpoint"
+    query = (
+        LM.observed(SL.read_log(spark, log, checkpoint=checkpoint, **options)).writeStream.queryName(name)
+        .foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{work}/read/epoch={epoch}"))
+        .option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(f"{SL.MESSAGE}, epoch bigint").parquet(f"{work}/read")
+
+
+@_query
+def s1_live_tail(spark, sf_dir):
+    """Partition 0 starts below its earliest offset, 2 beyond its latest, 3 has no position."""
+    work = _scratch(spark)
+    messages = samples.event_messages(_table(spark, sf_dir, "events")).where("src_partition != 0 or src_offset >= 50")
+    SL.append_segments(messages, f"{work}/log", segment_rows=512).write.format("noop").mode("overwrite").save()
+    starting = json.dumps({"events": {"0": 10, "1": 150, "2": 10**12}})
+    rows = _streamed(spark, f"{work}/log", work, f"tail-{uuid.uuid4().hex}", starting=starting, max_rows=messages.count() // 3)
+    return rows.select(*PLACE, "latest_offset", F.col("value").cast("string").alias("value"))
+
+
+@_query
+def a9_live_totals(spark, sf_dir):
+    """The monitor rows of a stream, added up: messages and bytes fetched, and the lag of its last batch."""
+    work = _scratch(spark)
+    messages = samples.event_messages(_table(spark, sf_dir, "events"))
+    SL.append_segments(messages, f"{work}/log", segment_rows=512).write.format("noop").mode("overwrite").save()
+    job = f"totals-{uuid.uuid4().hex}"
+    told = LM.JobMonitor(spark, job, work, lambda: SL.latest_offsets(SL.segments(f"{work}/log")))
+    spark.streams.addListener(told)
+    try:
+        _streamed(spark, f"{work}/log", work, job, max_rows=messages.count() // 3)
+        until = time.time() + 120
+        while told.running() and time.time() < until:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(told)
+    fetch = LM.live_rows(spark, work).where(F.col("id") == M.MONITOR_IDS["FETCH"])
+    values = fetch.select("batch_id", F.from_json("content", "FETCH_NUM bigint, FETCH_SIZE bigint, DELAY_NUM bigint").alias("v"))
+    return values.agg(
+        F.sum("v.FETCH_NUM").alias("fetch_num"), F.sum("v.FETCH_SIZE").alias("fetch_size"),
+        F.max_by("v.DELAY_NUM", "batch_id").alias("delay_num"),
+    )
+
+
+@_query
+def k3_committed_epochs(spark, sf_dir):
+    """Epochs of 1,024 events: odd ones after the first ten are never published; the first four are merged."""
+    out = _scratch(spark)
+    events = _table(spark, sf_dir, "events").selectExpr("event_id", "event_type as topic", "event_id div 1024 as epoch")
+    events.withColumn("run", F.lit("a")).write.partitionBy("run", "epoch").parquet(f"{out}/records")
+    epochs = sorted(r.epoch for r in events.select("epoch").distinct().collect())
+    schema = events.select("event_id", "topic").schema
+    for epoch in epochs:
+        if epoch < 10 or epoch % 2 == 0:
+            KC.publish(out, "a", epoch, ["records"])
+        if epoch == 3:
+            KC.compact(spark, out, "records", schema, ["event_id"], ["topic"])
+    return KC.read_committed(spark, out, "records", schema).select("event_id", "topic", "epoch")
+
+
+@_query
+def s5_zone_scan(spark, sf_dir):
+    """Scans of a store of two appends: one that ends at an empty entry and one over both appends."""
+    store = _scratch(spark)
+    stored = samples.stored_events(_table(spark, sf_dir, "events"))
+    KS.append_entries(stored.where("event_row >= 600"), store, file_rows=1000)
+    KS.append_entries(stored.where("event_row < 600"), store, file_rows=1000)
+    parts = [
+        KS.scan_store(spark, store, start, 1000).select(F.lit(start).alias("start"), "event_row", F.col("event_bytes").cast("string").alias("event_text"))
+        for start in (100, 501, 1498)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@_query
+def p1_placed_messages(spark, sf_dir):
+    """Messages by the task that holds them: it is the topic partition of their key."""
+    keyed = R.with_key(_records(spark, sf_dir, UNNUMBERED)).select("key")
+    here = KP.placed(KP.with_key_partition(keyed, 16), 16)
+    return here.groupBy(F.spark_partition_id().alias("task"), "key").agg(F.count("*").alias("messages"))

@@ -220,6 +220,14 @@ def stored_events(events: DataFrame) -> DataFrame:
     )
 
 
+def event_messages(events: DataFrame) -> DataFrame:
+    """The event table as messages of a topic of four partitions."""
+    return events.selectExpr(
+        "'events' as src_topic", "cast(event_id % 4 as int) as src_partition", "event_id div 4 as src_offset",
+        "cast(ts as timestamp) as timestamp", "cast(props as binary) as value",
+    )
+
+
 def json_messages(records: DataFrame) -> DataFrame:
     """The records as JSON changes; every other message carries its data as escaped text."""
     data = (

@@ -34,3 +34,13 @@ def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["topic", "row_num"]
     assert frame.count() == 3
+
+
+def test_the_rest_loads_without_a_library_of_the_training_data_operators(monkeypatch, capsys):
+    import sys
+
+    for name in [n for n in sys.modules if n.startswith("rowtide.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    assert set(contract.queries()) == set(registered()) and set(contract.oracle_sql()) == set(oracles())
+    assert "without the training-data operators" in capsys.readouterr().err

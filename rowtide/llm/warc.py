@@ -1,11 +1,16 @@
 """WARC archives: written with one gzip member per record, read by byte ranges (operator 10).
 
 A reading task gets a byte range of a file. It looks for the gzip magic, inflates the start of a
-candidate member and accepts it if a WARC version line and a well-formed header follow; from there
-members chain. A record belongs to the range in which its member starts; the task reads on past
-the end of its range as far as that record goes. A chain that runs into bytes which are no member
-started inside a payload (an archive stored in an archive): its records are dropped and the search
-goes on behind the false start, so a record is neither lost nor read twice.
+candidate member and accepts it if a WARC version line (1.0, 1.1 or another 1.x) and a well-formed
+header follow, its own checksum holds and its length is the header's. A record belongs to the range
+in which its member starts; the task reads on past the end of its range as far as that record goes.
+From its end the next member follows. Where none does, bytes are damaged: the search goes on behind
+them, so a damaged record costs no other, and ``damaged_stretches`` tells what was passed over. A
+response whose payload does not have the SHA-1 it tells counts as damaged.
+
+A range that begins inside a record may find records stored within it (an archive in an archive).
+They end where that record ends at the latest, so a range keeps what starts behind the ends of the
+ranges before. Records inside a damaged one cannot be told from others and are given out.
 
 Nulls and ties: a null payload counts as empty; a null url leaves the field out, control characters
 in one are percent-encoded. Rows without a page_id are written without that field; they are smaller
@@ -26,10 +31,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rowtide.llm.shared import file_system, new_file, prepare, shared_folder, stage
 
 VERSION = b"WARC/1.1\r\n"
+_VERSION = re.compile(rb"WARC/1\.\d{1,4}\r\n")
+_VERSION_BYTES = 13
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -38,8 +46,10 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 ARCHIVE_BYTES = 32 << 20
 RANGE_BYTES = 4 << 20
 _STEP = 1 << 16
+_BATCH_BYTES = 8 << 20
 #: What a header can begin with that has not ended yet: whole fields, then a field or a part of a name.
-_FIELDS = re.compile(rb"(?:[!-9;-~]+:[^\r\n]*+\r\n)*+(?:[!-9;-~]+:[^\r\n]*+|[!-9;-~]*+)\r?(?:\n\r?)?\Z")
+#: A line that begins with white space goes on with the field before.
+_FIELDS = re.compile(rb"(?:(?:[!-9;-~]+:|[ \t])[^\r\n]*+\r\n)*+(?:(?:[!-9;-~]+:|[ \t])[^\r\n]*+|[!-9;-~]*+)\r?(?:\n\r?)?\Z")
 
 
 def payload_digest(payload: bytes) -> str:
@@ -140,7 +150,7 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
     if window.get(at, 3) != MAGIC:
         return None
     unpack, got, place, head_end = zlib.decompressobj(31), [], at, -1
-    start, checked = bytearray(), len(VERSION)
+    start, checked, version = bytearray(), 0, None
     try:
         while not unpack.eof:
             data = window.get(place, _STEP)
@@ -151,10 +161,14 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
             got.append(piece)
             if head_end < 0:
                 start += piece
-                if not (start.startswith(VERSION) or len(start) < len(VERSION)):
-                    return None
+                version = version or _VERSION.match(start)
+                if version is None:
+                    if len(start) >= _VERSION_BYTES or not start.startswith(VERSION[:7][: len(start)]):
+                        return None
+                    continue
+                checked = max(checked, version.end())
                 head_end = start.find(b"\r\n\r\n", max(0, len(start) - len(piece) - 3))
-                if head_end < 0 and len(start) > len(VERSION) and not _FIELDS.match(start, checked):
+                if head_end < 0 and len(start) > checked and not _FIELDS.match(start, checked):
                     return None
                 checked = max(checked, start.rfind(b"\n") + 1)
     except zlib.error:
@@ -162,20 +176,29 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
     if head_end < 0:
         return None
     whole = b"".join(got)
-    fields = {}
-    for line in whole[len(VERSION) : head_end].split(b"\r\n"):
+    fields: dict[str, str] = {}
+    last = None
+    for line in whole[version.end() : head_end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
-        if not colon:
+        if line[:1] in (b" ", b"\t") and last is not None:
+            fields[last] += " " + line.strip().decode("utf-8", "replace")
+        elif colon:
+            last = name.decode("utf-8", "replace").lower()
+            fields[last] = value.strip().decode("utf-8", "replace")
+        else:
             return None
-        fields[name.decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
     length = fields.get("content-length", "")
     if not length.isdigit() or len(whole) != head_end + 4 + int(length) + 4:
         return None
     return fields, whole[head_end + 4 : -4], place
 
 
-def read_range(source, size: int, low: int, high: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Place, header fields and block of the records whose members start in [low, high)."""
+def read_range(source, size: int, low: int, high: int) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Start, end, header fields and block of the members that start in [low, high), one after another.
+
+    What is no whole member is passed over, up to the next place where one begins. A range that begins
+    inside a member may find one that is stored within it; see ``kept_members``.
+    """
     window, at = _Window(source, low, size), low
     while at < high:
         data = window.get(at, _STEP + len(MAGIC) - 1)
@@ -188,23 +211,16 @@ def read_range(source, size: int, low: int, high: int) -> Iterator[tuple[int, di
         first = at + found
         if first >= high:
             return
-        chain, place, broken = [], first, False
-        while place < high and place < size:
-            member = _member(window, place)
-            if member is None:
-                broken = True
-                break
-            chain.append((place, member[0], member[1]))
-            place = member[2]
-        if chain and not broken and place < size and _member(window, place) is None:
-            broken = True
-        if chain and not broken:
-            yield from chain
-            return
-        at = first + 1
+        member = _member(window, first)
+        if member is None:
+            at = first + 1
+            continue
+        yield first, member[2], member[0], member[1]
+        at = member[2]
 
 
-def _record(fields: dict[str, str], block: bytes) -> tuple:
+def _record(fields: dict[str, str], block: bytes) -> tuple | None:
+    """The columns of a record; None if its payload does not have the SHA-1 it tells."""
     number = lambda name: int(fields[name]) if name in fields else None
     kind = fields.get("warc-type")
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
@@ -213,13 +229,17 @@ def _record(fields: dict[str, str], block: bytes) -> tuple:
     if kind == "response":
         payload = block.partition(b"\r\n\r\n")[2]
         length = len(payload)
-        if payload_digest(payload) != digest:
-            raise ValueError(f"the payload of {fields.get('warc-record-id')} does not have its digest")
+        if fields.get("warc-payload-digest", "").startswith("sha1:") and payload_digest(payload) != digest.upper():
+            return None
     return number("x-page-id"), fields.get("warc-target-uri"), length, digest, kind, number("x-refers-to-page-id"), payload
 
 
 _RECORDS = pa.schema(
     [
+        ("path", pa.string()),
+        ("low", pa.int64()),
+        ("start", pa.int64()),
+        ("end", pa.int64()),
         ("page_id", pa.int64()),
         ("url", pa.string()),
         ("payload_bytes", pa.int64()),
@@ -230,12 +250,13 @@ _RECORDS = pa.schema(
     ]
 )
 _DDL = (
-    "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+    "path string, low long, start long, end long, page_id long, url string, payload_bytes long, payload_digest string, "
+    "record_type string, refers_to long, payload binary"
 )
 
 
-def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
-    """The records of archives (path, n_bytes), each file cut into byte ranges that tasks share out."""
+def range_members(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
+    """The members of archives (path, n_bytes) by the byte ranges that tasks share out, with their places."""
     schema = _RECORDS if payloads else pa.schema(list(_RECORDS)[:-1])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,12 +264,17 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bo
             for path, size, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 files_, at = file_system(path)
                 rows: list[tuple] = []
+                held = 0
                 with files_.open_input_file(at) as source:
-                    for _, fields, block in read_range(source, size, low, min(size, low + range_bytes)):
-                        rows.append(_record(fields, block))
-                        if len(rows) == 256:
+                    for start, end, fields, block in read_range(source, size, low, min(size, low + range_bytes)):
+                        record = _record(fields, block)
+                        if record is None:
+                            continue
+                        rows.append((path, low, start, end, *record))
+                        held += len(block)
+                        if len(rows) == 256 or held >= _BATCH_BYTES:
                             yield _batch(rows, schema)
-                            rows = []
+                            rows, held = [], 0
                 if rows:
                     yield _batch(rows, schema)
 
@@ -260,6 +286,43 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bo
     return ranges.repartition(tasks, "path", "low").mapInArrow(read, ddl)
 
 
+def kept_members(members: DataFrame) -> DataFrame:
+    """Members that do not lie inside one of a range before: those are records stored within a record.
+
+    A range's members follow each other, so the ends of the ranges are enough: a row per range that
+    has members meets in the window of its file.
+    """
+    before = Window.partitionBy("path").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    ends = members.groupBy("path", "low").agg(F.max("end").alias("_end"))
+    ends = ends.select("path", "low", F.max("_end").over(before).alias("_before")).where("_before > low")
+    return members.join(ends, ["path", "low"], "left").where("_before is null or start >= _before").drop("_before")
+
+
+def read_members(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
+    """The records of archives (path, n_bytes) with their place: path, start and end.
+
+    The members of all ranges are written to the shared folder before those inside others are left out.
+    """
+    return kept_members(stage(range_members(files, range_bytes, payloads))).drop("low")
+
+
+def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
+    """The records of archives (path, n_bytes), each file cut into byte ranges that tasks share out."""
+    return read_members(files, range_bytes, payloads).drop("path", "start", "end")
+
+
+def damaged_stretches(files: DataFrame, members: DataFrame) -> DataFrame:
+    """path, low, high: the bytes of archives (path, n_bytes) that are in no record (path, start, end).
+
+    A window of a file holds its records' places, so no more than an archive has records.
+    """
+    marks = members.select("path", "start", "end")
+    whole = files.select("path", F.col("n_bytes").alias("start"), F.col("n_bytes").alias("end"))
+    before = Window.partitionBy("path").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    low = F.coalesce(F.max("end").over(before), F.lit(0).cast("long"))
+    return marks.unionByName(whole).select("path", low.alias("low"), F.col("start").alias("high")).where("low < high")
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))[: len(schema)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -270,7 +333,7 @@ def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0, archive_byt
     spark = prepare(pages.sparkSession)
     folder = shared_folder(spark)
     files = stage(write_archives(record_kinds(pages, min_revisit_bytes), folder, archive_bytes))
-    records = stage(read_archives(files, payloads=False))
+    records = read_archives(files, payloads=False)
     written, read = files.agg(F.sum("n_records")).first()[0] or 0, records.count()
     if read != written:
         raise ValueError(f"{read} records were read of {written} written")

@@ -41,6 +41,7 @@ CACHE = 250_000
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!#$%&*,./:;?|]+)")
 # A comma or full stop at the end of a chunk that continues a run of marks.
 _RUN = re.compile(r"[.,] (?<![^\W_][.,] )(?<! [.,] )")
+_PROBES = ("a", "the", "Tokens", "internationalization", "zqxjkvb")
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
@@ -77,12 +78,35 @@ class WordEncoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
         self.chunks, self.parts = _Recent(), _Recent()
+        self.model = self.tokenizer.model
+        # The model alone is half the work, where it gives a word of ASCII letters the ids of the whole tokenizer.
+        self.direct = all(self._of_model(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _of_model(self, word: str) -> list[int]:
+        return [token.id for token in self.model.tokenize(word.lower())]
+
+    def _encode_words(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Keeps the ids of words of ASCII letters."""
+        ids, ends = [], []
+        for word in words:
+            ids += self._of_model(word)
+            ends.append(len(ids))
+        coded = self._bytes(ids)
+        width, begin = len(self.end), 0
+        for word, end in zip(words, ends, strict=True):
+            known[word] = coded[begin : end * width]
+            begin = end * width
+
     def _encode_parts(self, parts: list[str], known: dict[str, bytes]) -> None:
-        """Keeps the ids of pre-tokens, which are encoded in one text."""
+        """Keeps the ids of pre-tokens; all but words of ASCII letters are encoded in one text."""
+        if self.direct:
+            words = [p for p in parts if p.isascii() and p.isalpha()]
+            if words:
+                self._encode_words(words, known)
+                parts = [p for p in parts if not (p.isascii() and p.isalpha())]
         if not parts:
             return
         encoding = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
@@ -97,7 +121,7 @@ class WordEncoder:
     def _learn(self, new: set[str]) -> None:
         letters, plain, other, parts, chunks = [], [], [], self.parts.known, self.chunks.known
         for chunk in self.chunks.recall(new):
-            if chunk.isalpha() and max(chunk) <= "ÿ":
+            if chunk.isalpha() and (chunk.isascii() or max(chunk) <= "ÿ"):
                 letters.append(chunk)
             elif match := _PLAIN.fullmatch(chunk):
                 plain.append((chunk, *match.groups()))

@@ -55,21 +55,22 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 def featured(documents: DataFrame) -> DataFrame:
     """Adds n_tokens and features: hashed words, and shares that depend on no word."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.filter(F.split(F.lower(text), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[ \t\n\x0B\f\r]+"), "")
     rows = documents.withColumn("_words", words).withColumn("n_tokens", F.size("_words").cast("long"))
+    rows = rows.withColumn("_distinct", F.array_distinct("_words"))
     chars = F.greatest(F.lit(1), F.length(text))
     rows = rows.withColumns(
         {
             "_upper": F.regexp_count(text, F.lit(r"\p{Lu}")) / chars,
-            "_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>!]")) / chars,
-            "_fresh": F.size(F.array_distinct("_words")) / F.greatest(F.lit(1), F.size("_words")),
+            "_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>!", ""))) / chars,
+            "_fresh": F.size("_distinct") / F.greatest(F.lit(1), F.size("_words")),
             "_length": F.log1p(F.size("_words")) / 10,
         }
     )
-    rows = HashingTF(numFeatures=WORD_FEATURES, binary=True, inputCol="_words", outputCol="_hashed").transform(rows)
+    rows = HashingTF(numFeatures=WORD_FEATURES, binary=True, inputCol="_distinct", outputCol="_hashed").transform(rows)
     names = [f"_{name}" for name in _SHARES]
     rows = VectorAssembler(inputCols=[*names, "_hashed"], outputCol="_features").transform(rows)
-    return rows.drop("_words", "_hashed", *names)
+    return rows.drop("_words", "_distinct", "_hashed", *names)
 
 
 def posteriors(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ MAGIC = b"RTIDS\x01\r\n"
 FILE_TOKENS = 2_000_000
 #: Blocks that are coded in one array.
 TOGETHER = 40
+#: Text that is cut into chunks at once.
+SLICE_BYTES = 8 << 20
 #: Entries of a generation of each of a worker's two word caches.
 CACHE = 250_000
 
@@ -138,8 +141,8 @@ class WordEncoder:
                 chunks[chunk] = self._bytes(encoding.ids)
 
     @staticmethod
-    def _cut(text: str) -> list[str]:
-        """Chunks of the text that can be encoded one by one.
+    def _prepared(text: str) -> str:
+        """The text with single spaces between chunks that can be encoded one by one.
 
         Latin-1 text is lower-cased here, as the tokenizer would, and commas and full stops behind
         a word are cut off, so that there are fewer chunks to know. No letter of it changes under
@@ -149,21 +152,42 @@ class WordEncoder:
         try:
             text.isascii() or text.encode("latin-1")
         except UnicodeEncodeError:
-            return text.split(" ")
+            return text
         text = text.lower()
         if not _RUN.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
-        return text.split(" ")
+        return text
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text and the closing id."""
-        cut = [self._cut(text or "") for text in texts]
+        """The ids of each text and the closing id.
+
+        The texts are cut and their chunks numbered by Arrow, so only different chunks become Python objects.
+        """
+        chunks = pc.split_pattern(pa.array([self._prepared(text or "") for text in texts], pa.string()), " ")
+        numbered = chunks.flatten().dictionary_encode()
+        different = numbered.dictionary.to_pylist()
         self.chunks.turn()
         self.parts.turn()
-        if new := set().union(*cut).difference(self.chunks.known):
+        known = self.chunks.known
+        if new := set(different).difference(known):
             self._learn(new)
-        known = self.chunks.known.__getitem__
-        return [b"".join(map(known, chunks)) + self.end for chunks in cut]
+        ids = pa.array([known[chunk] for chunk in different], pa.binary()).take(numbered.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int32)[chunks.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[begin:end]) + self.end for begin, end in zip(ends, ends[1:], strict=False)]
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of some SLICE_BYTES of text; a longer text is one slice."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    begin, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > SLICE_BYTES:
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += size
+    yield batch.slice(begin)
 
 
 def _encoder(path: str, end_id: int) -> WordEncoder:
@@ -181,8 +205,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int) -> DataF
         encoder = _encoder(tokenizer, end_id)
         narrow = encoder.kind == "<u2"
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                rows = batch.slice(at, 128)
+            for rows in _slices(batch):
                 coded = encoder.encode(rows.column(1).to_pylist())
                 sizes = [len(ids) // (2 if narrow else 4) for ids in coded]
                 crcs = [zlib.crc32(_ids(ids, narrow).astype("<u4")) for ids in coded]

@@ -179,7 +179,7 @@ class WordEncoder:
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The rows in slices of some SLICE_BYTES of text; a longer text is one slice."""
+    """The rows in slices of SLICE_BYTES of text at most; a longer text shares its slice with empty ones only."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
     begin, held = 0, 0
     for i, size in enumerate(sizes.tolist()):

@@ -126,13 +126,16 @@ def _send_totals(records: DataFrame, sent: Column | None = None) -> list[Column]
     return [F.count(one).alias("send_num"), F.sum(size).alias("send_size")]
 
 
-def fetch_per_minute(fetch_log: DataFrame) -> DataFrame:
-    """Messages and bytes fetched per source partition and minute, before any filter."""
+def fetch_per_minute(fetch_log: DataFrame, **more: Column) -> DataFrame:
+    """Messages and bytes fetched per source partition and minute, before any filter; ``more`` adds aggregates."""
     source = source_of(fetch_log)
     return (
         fetch_log.groupBy(*source, F.window("fetch_ts", "1 minute").alias("_w"))
-        .agg(F.count("*").alias("fetch_num"), F.sum("n_bytes").alias("fetch_size"))
-        .select(*source, F.col("_w.start").alias("minute"), "fetch_num", "fetch_size")
+        .agg(
+            F.count("*").alias("fetch_num"), F.sum("n_bytes").alias("fetch_size"),
+            *[column.alias(name) for name, column in more.items()],
+        )
+        .select(*source, F.col("_w.start").alias("minute"), "fetch_num", "fetch_size", *more)
     )
 
 

@@ -729,6 +729,30 @@ def oracles() -> dict[str, str]:
             stops AS (SELECT start, coalesce(min(event_row) FILTER (WHERE event_text IS NULL AND event_row >= start
                 AND event_row < start + 1000), start + 1000) AS stop FROM e, starts GROUP BY start)
             SELECT start, event_row, event_text FROM e, stops WHERE event_row >= start AND event_row < stop""",
+        "r3_digest_differences": f"""{_ON_RECORDS},
+            json_side AS (SELECT DISTINCT {_BOTH_KEYS} AS change_key FROM records WHERE (src_offset // 2) % 53 <> 5),
+            record_side AS (SELECT DISTINCT {_BOTH_KEYS} AS change_key FROM records WHERE {_DELIVERED})
+            SELECT change_key, 'right' AS missing_in FROM (FROM json_side EXCEPT FROM record_side)
+            UNION ALL SELECT change_key, 'left' FROM (FROM record_side EXCEPT FROM json_side)""",
+        "a7_live_minutes": f"""{_with(_FETCHED)},
+            batches AS (SELECT *, least(3, (next_offset - 1) * 4 // (SELECT max(event_id) + 1 FROM events)
+                + CASE WHEN (next_offset - 1) % 10 = 3 THEN 1 ELSE 0 END) AS batch FROM fetched),
+            tops AS (SELECT src_partition, batch, max(fetch_ts) AS top FROM batches GROUP BY ALL),
+            marks AS (SELECT src_partition, batch, max(top) OVER (PARTITION BY src_partition ORDER BY batch
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM tops)
+            SELECT src_partition, strftime(minute, '%Y-%m-%d %H:%M') AS minute, count(*) AS fetch_num,
+              CAST(sum(n_bytes) AS BIGINT) AS fetch_size,
+              count(*) FILTER (WHERE minute + INTERVAL 11 MINUTE <= newest) AS late_num
+            FROM batches JOIN marks USING (src_partition, batch) GROUP BY src_partition, minute""",
+        "f2_routes_as_of": f"""{_ON_LOG},
+            ends AS (SELECT src_partition, max(src_offset) AS last FROM env GROUP BY 1),
+            at_ AS (SELECT src_partition, src_offset, tab, CASE WHEN src_partition < 2 AND src_offset >= last * 3 // 4 THEN 2
+                WHEN src_offset >= last // 2 THEN 1 ELSE 0 END AS version
+              FROM kept JOIN ends USING (src_partition) WHERE db = 'shop'),
+            versions(version, tab, topic) AS (VALUES (0, 'orders_0', 'mysql_a'), (0, 'orders_1', 'mysql_a'),
+              (0, 'orders_2', 'mysql_b'), (0, 'orders_3', 'mysql_c'), (1, 'orders_0', 'mysql_z'),
+              (1, 'orders_4', 'mysql_b'), (2, 'orders_1', 'mysql_a'), (2, 'orders_5', 'mysql_z'))
+            SELECT src_partition, src_offset, topic FROM at_ JOIN versions USING (version, tab)""",
         "p1_placed_messages": f"SELECT partition AS task, key, messages FROM ({sql['p1_key_partitions']})",
     }
     return sql

@@ -17,6 +17,7 @@ from rowtide import VARIANTS, ConvertOptions, convert, prepare_session, samples
 from rowtide.session import tune_session
 from rowtide.functions import text as X
 from rowtide.operators import audit as U
+from rowtide.operators import digests as DG
 from rowtide.operators import envelopes as V
 from rowtide.operators import job_configs as J
 from rowtide.operators import monitoring as M
@@ -27,6 +28,7 @@ from rowtide.operators import routing as G
 from rowtide.plans import convert as P
 from rowtide.plans import stored as D
 from rowtide.sinks import commits as KC
+from rowtide.sinks import digests as KD
 from rowtide.sinks import store as KS
 from rowtide.sinks import tables as KT
 from rowtide.sinks import topics as KP
@@ -38,6 +40,7 @@ from rowtide.sources import topic_log as SL
 from rowtide.sources import wire as SW
 from rowtide.streaming import monitor as LM
 from rowtide.streaming.conversion import next_positions
+from rowtide.streaming.minutes import MinuteCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -838,3 +841,54 @@ def p1_placed_messages(spark, sf_dir):
     keyed = R.with_key(_records(spark, sf_dir, UNNUMBERED)).select("key")
     here = KP.placed(KP.with_key_partition(keyed, 16), 16)
     return here.groupBy(F.spark_partition_id().alias("task"), "key").agg(F.count("*").alias("messages"))
+
+
+@_query
+def r3_digest_differences(spark, sf_dir):
+    """Keys that one of two feeds lacks; digests of each feed were kept in two runs."""
+    left, right = _sides(spark, sf_dir)
+    sides = {"json": left.where("src_offset div 2 % 53 != 5"), "record": right}
+    out = _scratch(spark)
+    for name, feed in sides.items():
+        for step in (0, 1):
+            KD.keep_digests(feed.where(F.expr("src_offset div 2 % 2") == step), out, step, name)
+    kept = [KD.kept_digests(spark, out, name) for name in sides]
+    return DG.differences(*sides.values(), *kept)
+
+
+@_query
+def a7_live_minutes(spark, sf_dir):
+    """Fetch minutes of a stream of four batches, every tenth message a batch late, and how many came too late."""
+    work = _scratch(spark)
+    events = _table(spark, sf_dir, "events")
+    total = events.agg((F.max("event_id") + 1).alias("n")).first().n
+    batch = f"cast(least(3, event_id * 4 div {total} + if(event_id % 10 = 3, 1, 0)) as int)"
+    fetched = samples.fetch_log(events).withColumn("_batch", F.expr(batch.replace("event_id", "(next_offset - 1)")))
+    schema = fetched.drop("_batch").schema
+    counts = MinuteCounts(f"{work}/counts")
+    for number in range(4):
+        fetched.where(F.col("_batch") == number).drop("_batch").write.parquet(f"{work}/in/batch={number}")
+        # The next batch of files is there when the one before has been counted, also over a restart.
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{work}/in")
+        counts.start(stream, f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return counts.counts(spark).drop("src_topic").withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
+
+
+@_query
+def f2_routes_as_of(spark, sf_dir):
+    """Topics under routes that change in the middle of each source partition, and of two once more."""
+    log = _log(spark, sf_dir)
+    lines = [(0, *line) for line in samples.ROUTE_LIST]
+    lines += [(1, "orders_0", "mysql_z", "order_key", None), (1, "orders_4", "mysql_b", "row_no", None)]
+    lines += [(2, "orders_1", "mysql_a", "order_key", None), (2, "orders_5", "mysql_z", "row_no", "quantity")]
+    versions = [
+        G.normalize_routes(samples.route_table(spark, [line[1:] for line in lines if line[0] == v])).withColumn("version", F.lit(v))
+        for v in range(3)
+    ]
+    ends = log.groupBy("src_topic", "src_partition").agg(F.max("src_offset").alias("_last"))
+    starts = [
+        ends.where(rows).select(F.lit(v).alias("version"), "src_topic", "src_partition", F.expr(at).alias("from_offset"))
+        for v, rows, at in ((1, "true", "_last div 2"), (2, "src_partition < 2", "_last * 3 div 4"))
+    ]
+    routes = G.VersionedRoutes(versions[0].unionByName(versions[1]).unionByName(versions[2]), starts[0].unionByName(starts[1]))
+    return P.routed_envelopes(log, routes, UNNUMBERED).select(*PLACE, "topic")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators import records as R
 from rowtide.operators.ordering import drop_repeats, number_envelopes, with_chunks
-from rowtide.operators.routing import dml_only, has_topic, route, with_route
+from rowtide.operators.routing import Routes, dml_only, has_topic, route, with_route
 from rowtide.options import ConvertOptions
 from rowtide.session import prepare_session
 
@@ -18,7 +18,7 @@ NUMBERS = ("out_batch_id", "out_in_id", "first_mid")
 
 def routed_envelopes(
     envelopes: DataFrame,
-    routes: DataFrame,
+    routes: Routes,
     options: ConvertOptions = ConvertOptions(),
     starts: DataFrame | None = None,
 ) -> DataFrame:
@@ -40,7 +40,7 @@ def rows_with_images(routed: DataFrame, options: ConvertOptions = ConvertOptions
 
 def convert(
     envelopes: DataFrame,
-    routes: DataFrame,
+    routes: Routes,
     ts: Column | int,
     options: ConvertOptions = ConvertOptions(),
     starts: DataFrame | None = None,
@@ -61,7 +61,7 @@ def convert(
 
 def numbered_images(
     envelopes: DataFrame,
-    routes: DataFrame,
+    routes: Routes,
     options: ConvertOptions = ConvertOptions(),
     starts: DataFrame | None = None,
 ) -> DataFrame:

@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from rowtide.operators import monitoring as M
 from rowtide.operators.ordering import SOURCE, is_end
 from rowtide.operators.records import with_key
-from rowtide.operators.routing import ddl_log
+from rowtide.operators.routing import Routes, current_topics, ddl_log
 from rowtide.options import ConvertOptions
 from rowtide.plans.convert import numbered_images, records_of
 from rowtide.schemas import POSITIONS
 from rowtide.session import prepare_session
 from rowtide.sinks.commits import is_published, publish
+from rowtide.sinks.routes import RouteLog
 from rowtide.sinks.tables import read_positions_before, write_by_topic
 from rowtide.sources.tables import from_positions
 from rowtide.sources.wire import DECODE_ERROR, decode_envelopes, decoded_ok, undecodable
@@ -39,6 +40,8 @@ class ConversionJob:
     ``out`` is a folder on storage all executors share. ``clock`` gives the time of an epoch in
     milliseconds; tests pass a fixed one. ``timer`` measures how long a flush takes to be written.
     ``strict`` fails the job on bytes that do not decode; else they go to a quarantine table.
+    ``routes`` may be a function that reads the routes as they are now: each epoch asks it, and what
+    changed is kept in ``route_log`` as a version from the epoch's positions on.
 
     Outputs lie under the run and the epoch that made them. A run is the life of one checkpoint
     folder: with a new one the epochs start at 0 again, the job goes on from its own positions,
@@ -46,7 +49,7 @@ class ConversionJob:
     """
 
     job: str
-    routes: DataFrame
+    routes: Routes | Callable[[], DataFrame]
     out: str
     clock: Callable[[int], int]
     options: ConvertOptions = field(
@@ -86,7 +89,8 @@ class ConversionJob:
         # The ordered steps read the batch several times and every output needs the numbered
         # envelopes; both are kept, so that the source is read and converted once.
         batch = batch.persist()
-        numbered = numbered_images(batch, self.routes, self.options, starts).persist()
+        routes = self._routes_at(spark, starts)
+        numbered = numbered_images(batch, routes, self.options, starts).persist()
         sent = None
         try:
             began = self.timer()
@@ -101,7 +105,7 @@ class ConversionJob:
             self._write(ddl_log(numbered), "ddl", epoch, run)
             if bad is not None:
                 self._write(bad, "undecodable", epoch, run)
-            monitor = self._monitor(numbered, sent, totals.get, fetched, bad, now, took)
+            monitor = self._monitor(numbered, current_topics(routes), sent, totals.get, fetched, bad, now, took)
             self._write(M.monitor_message(monitor), "monitor", epoch, run)
             sent_rows = sent.groupBy(*SOURCE).agg(F.sum("sent").alias("sent"))
             positions = next_positions(fetched, numbered, starts).join(sent_rows, list(SOURCE), "left")
@@ -120,6 +124,13 @@ class ConversionJob:
             if bad is not None:
                 decoded.unpersist()
 
+    def _routes_at(self, spark: SparkSession, starts: DataFrame | None) -> Routes:
+        if not callable(self.routes):
+            return self.routes
+        log = RouteLog(self.path("route_log"))
+        log.note(self.routes(), starts)
+        return log.read(spark)
+
     @staticmethod
     def _next_step(starts: DataFrame | None) -> int:
         if starts is None or "step" not in starts.columns:
@@ -136,12 +147,12 @@ class ConversionJob:
         df.write.mode("overwrite").parquet(self.path(table, epoch, run))
 
     def _monitor(
-        self, numbered: DataFrame, sent: DataFrame, totals: dict, fetched: DataFrame,
+        self, numbered: DataFrame, topics: DataFrame, sent: DataFrame, totals: dict, fetched: DataFrame,
         bad: DataFrame | None, now: int, took: int,
     ) -> DataFrame:
         """The flush as monitor records of all kinds."""
         flush = numbered.withColumn("flush", F.lit(0))
-        topics = self.routes.where(F.col("topic").isNotNull()).select(F.col("topic").alias("name")).distinct()
+        topics = topics.select(F.col("topic").alias("name"))
         counted = sent.groupBy(F.col("topic").alias("name")).agg(F.sum("sent").alias("value"))
         # Topics of the routes that got nothing report 0.
         rows = topics.join(counted, "name", "full").withColumn("value", F.coalesce("value", F.lit(0)))

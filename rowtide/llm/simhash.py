@@ -8,12 +8,13 @@ fingerprints are cut into pieces and every two pieces meet in a tree of their ow
 larger than that and no link is lost. Trees give the components of their shard as stars; the stars
 are joined to components on the cluster.
 
-``one_of_each`` links by the similarity of shingle sets. Texts meet that share one of their ``KEYS``
-least shingles by hash, which sets of that similarity nearly always do; a key of one text is dropped
-before any text is moved, and of keys with the same texts one is kept. The task of a key makes the
-whole sets from the texts again and decides by their exact Jaccard similarity. Texts with the same
-set are one node. A shingle that many texts have among theirs makes a large shard, which is cut into
-pieces that all meet.
+``one_of_each`` links by the exact Jaccard similarity of shingle sets. Candidates come from two sources.
+The SimHash trees give the components of the sets' fingerprints, and the texts of a component meet. As
+texts of that similarity may differ in more bits than any block table can bound, texts also meet that
+share one of their ``KEYS`` least shingles by hash, which they nearly always do. Where they meet, the
+whole sets are made from the texts again and compared. A key of one text is dropped before any text is
+moved, and of keys with the same texts one is kept. Texts with the same set are one node. A component
+or shingle of many texts makes a large shard, which is cut into pieces that all meet.
 
 Nulls and ties: a null text has no words, and a document without words has fingerprint zero, which
 links like any other. Rows without a doc_id get the component of their fingerprint, null if nothing
@@ -227,41 +228,52 @@ def near_duplicates(documents: DataFrame, size: int = 4, radius: int = RADIUS, c
 
 
 def keyed_rows(documents: DataFrame, size: int) -> DataFrame:
-    """Own columns as _d0, _d1, ..., a row number, fp (of the shingle set), the bytes of the text and the shard keys."""
+    """Own columns as _d0, _d1, ..., a row number, fp (of the shingle set), sim (its SimHash), bytes of the text, shard keys."""
     names = documents.columns
     text = names.index("text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sizes, keys = [], [], []
+            fps, sims, sizes, keys = [], [], [], []
             for value in batch.column(text).cast(pa.string()):
                 value = value.as_py() or ""
                 hashes = np.unique(shingle_hashes(value, size))
                 fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), _SEED))
+                sims.append(majority(hashes))
                 sizes.append(len(value.encode("utf-8", "surrogatepass")))
                 keys.append(hashes[:KEYS].view(np.int64).tolist())
             added = [
                 pa.array(np.array(fps, np.uint64).view(np.int64)),
+                pa.array(np.array(sims, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "bytes", "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, "fp", "sim", "bytes", "keys"])
 
     kept = [f"_d{i}" for i in range(len(names))]
     own = documents.toDF(*kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
-    rows = own.mapInArrow(hashed, f"{fields}, fp long, bytes long, keys array<long>")
+    rows = own.mapInArrow(hashed, f"{fields}, fp long, sim long, bytes long, keys array<long>")
     return rows.withColumn("_row", F.monotonically_increasing_id())
 
 
+def tree_groups(distinct: DataFrame, radius: int, capacity: int) -> DataFrame:
+    """The rows (sim and more) with the component of their SimHash as ``group``."""
+    sims = stage(distinct.select(F.col("sim").alias("fp")).distinct())
+    roots = components(stage(star_links(shard_entries(sims, radius, capacity), radius)))
+    return distinct.join(roots.withColumnRenamed("u", "sim"), "sim", "left").withColumn("group", F.coalesce("root", "sim")).drop("root")
+
+
 def one_of_each(
-    documents: DataFrame, size: int = 5, similarity: float = 0.8, capacity: int = CAPACITY, common: int = 4_000
-) -> DataFrame:
+    documents: DataFrame, size: int = 5, similarity: float = 0.8, capacity: int = CAPACITY, common: int = 4_000,
+    radius: int = RADIUS,
+) -> DataFrame:
     """The documents without near copies of that similarity: of each component the least doc_id stays.
 
     Of rows that share it the first as written stays; where no row of a component has an id, its
     first row. Own columns come back as they were. A key that more than ``common`` documents have is
-    cut into pieces, and every two of them meet.
+    cut into pieces, and every two of them meet. The components of SimHashes within ``radius`` bits
+    are keys as well.
     """
     prepare(documents.sparkSession)
     names = documents.columns
@@ -269,8 +281,10 @@ def one_of_each(
     doc_id = F.col(f"_d{names.index('doc_id')}").cast("long")
     first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))).alias("first")
     # Rows of one set have the same keys.
-    distinct = stage(rows.groupBy("fp").agg(first, F.first("keys").alias("keys"), F.max("bytes").alias("bytes")))
-    keyed = distinct.select(F.explode("keys").alias("key"), "fp", F.col("first.row").alias("_row"), "bytes")
+    distinct = stage(rows.groupBy("fp").agg(first, F.first("keys").alias("keys"), F.first("sim").alias("sim"), F.max("bytes").alias("bytes")))
+    grouped = tree_groups(distinct, radius, capacity).withColumn("key", F.xxhash64(F.lit("sim"), "group"))
+    meet = ["key", "fp", F.col("first.row").alias("_row"), "bytes"]
+    keyed = grouped.select(*meet).unionByName(distinct.withColumn("key", F.explode("keys")).select(*meet))
     texts = F.expr("sum(cast(xxhash64(fp) as decimal(38, 0)))").alias("texts")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("held"), texts).where("n > 1")
     shared = stage(shared.groupBy("n", "texts").agg(F.min("key").alias("key"), F.max("held").alias("held")))

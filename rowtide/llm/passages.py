@@ -16,7 +16,8 @@ a probe. A window that is repeated has a block that is also probed from somewher
 
 Hashes of probes only nominate (32 bits within a lot); what is repeated is decided on the words. A
 block with over ``capacity`` different contexts is taken apart into its single windows, which are
-counted by a 128-bit hash each, without any task that holds the block's rows.
+counted by a 128-bit hash each: packed by slice and lot of hashes, without any task that holds the
+block's rows.
 
 Lots are as many as the corpus needs to keep each below a set size. Long texts are handled in pieces
 cut at white space; a slice with one long text holds 8 bytes a word and some arrays of that size.
@@ -298,7 +299,9 @@ def contexts(found: DataFrame, folder: str, window: int, lots: int) -> DataFrame
         columns = [np.full(len(at), name, np.int64), at, run[np.array(at, np.int64)].view(np.int64), cids, leads, data]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _PLACED.types, strict=True)], schema=_PLACED)
 
-    return found.groupBy("slice").applyInArrow(cut, "slice long, at long, h long, cid binary, lead int, data binary")
+    # A set number of tasks: the bits are few bytes, which would else end up in one task, and each slice is read again.
+    dealt = found.repartition(lots, "slice")
+    return dealt.groupBy("slice").applyInArrow(cut, "slice long, at long, h long, cid binary, lead int, data binary")
 
 
 _PLACED = pa.schema(
@@ -397,9 +400,12 @@ def extend(distinct: DataFrame, window: int) -> DataFrame:
     return placed.mapInArrow(run, "cid binary, mask long")
 
 
-def single_windows(places: DataFrame, folder: str, window: int) -> DataFrame:
-    """slice, at, mask: repeated windows around hits (slice, at), each counted by itself."""
-    schema = pa.schema([("slice", pa.int64()), ("at", pa.int64()), ("w", pa.binary())])
+_WINDOWS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("places", pa.binary())])
+_REPEATED = pa.schema([("slice", pa.int64()), ("at", pa.int64()), ("mask", pa.int64())])
+
+
+def window_hashes(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
+    """slice, lot, sigs, places: 128-bit hashes and places of the windows around hits (slice, at), packed by lot."""
 
     def cut(rows: pa.Table) -> pa.Table:
         name = rows.column("slice")[0].as_py()
@@ -412,12 +418,49 @@ def single_windows(places: DataFrame, folder: str, window: int) -> DataFrame:
                 last = place - lead + k
                 starts.append(last)
                 hashes.append(xxhash.xxh3_128_digest(b" ".join(words[k : k + window])))
-        columns = [np.full(len(starts), name, np.int64), starts, hashes]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        sigs = np.frombuffer(b"".join(hashes), "<u8").reshape(-1, 2)
+        lot = ((sigs[:, 0] >> np.uint64(32)) * np.uint64(lots)) >> np.uint64(32)
+        by = np.argsort(lot, kind="stable")
+        sigs, place = sigs[by], np.array(starts, "<i8")[by]
+        own, first = np.unique(lot[by], return_index=True)
+        cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(by)], strict=True))
+        columns = [[name] * len(own), own.astype(np.int32), [sigs[a:b].tobytes() for a, b in cuts], [place[a:b].tobytes() for a, b in cuts]]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _WINDOWS.types, strict=True)], schema=_WINDOWS)
+
+    dealt = places.select("slice", "at").repartition(lots, "slice")
+    return dealt.groupBy("slice").applyInArrow(cut, "slice long, lot int, sigs binary, places binary")
+
+
+def single_windows(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
+    """slice, at, mask: repeated windows around hits (slice, at), each counted by itself.
+
+    All windows of a hash are in its lot, as 24 packed bytes each: no row a window, and no join on a
+    window that very many places have.
+    """
 
-    windows = stage(places.select("slice", "at").groupBy("slice").applyInArrow(cut, "slice long, at long, w binary"))
-    repeated = windows.groupBy("w").count().where("count > 1").select("w")
-    return windows.join(repeated, "w", "left_semi").select("slice", "at", F.lit(1).cast("long").alias("mask"))
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[int, list[tuple[int, bytes, bytes]]] = {}
+        for batch in batches:
+            for name, lot, *data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                of.setdefault(lot, []).append((name, *data))
+        for lot in list(of):
+            rows = of.pop(lot)
+            sigs = np.concatenate([np.frombuffer(r[1], "<u8").reshape(-1, 2) for r in rows])
+            by = np.lexsort((sigs[:, 1], sigs[:, 0]))
+            equal = (sigs[by[1:]] == sigs[by[:-1]]).all(axis=1)
+            repeated = np.zeros(len(sigs), bool)
+            repeated[by[1:][equal]] = repeated[by[:-1][equal]] = True
+            end = 0
+            for name, _, packed in rows:
+                at = np.frombuffer(packed, "<i8")
+                begin, end = end, end + len(at)
+                at = at[repeated[begin:end]]
+                if len(at):
+                    columns = [np.full(len(at), name, np.int64), at, np.ones(len(at), np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_REPEATED)
+
+    windows = stage(window_hashes(places, folder, window, lots))
+    return windows.repartitionById(lots, F.col("lot")).mapInArrow(meet, "slice long, at long, mask long")
 
 
 def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: int = CAPACITY) -> DataFrame:
@@ -440,7 +483,7 @@ def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: i
     verdict = extend(distinct.join(hot, "h", "left_anti"), window)
     out = placed.select("slice", "at", "cid").join(verdict, "cid").select("slice", "at", "mask").unionByName(marks)
     if not hot.isEmpty():
-        out = out.unionByName(single_windows(placed.join(hot, "h", "left_semi"), folder, window))
+        out = out.unionByName(single_windows(placed.join(hot, "h", "left_semi"), folder, window, lots))
     return out
 
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide.llm import passages
 from rowtide.llm.queries import QUERIES
@@ -74,3 +75,21 @@ def test_long_text_in_pieces(spark, monkeypatch):
     long = words(rng, 300_000, 100_000)
     texts = [long, " ".join(long.split()[149_990:150_040]), "x" * 2_000_000]
     assert rows_of(passages.remove_repeated_windows(docs_of(spark, *texts))) == repeated(texts, 35)
+
+
+def test_hot_windows_are_packed_by_slice_and_lot(spark, monkeypatch, tmp_path):
+    """A passage of a great many texts is a packed row per slice and lot, and no join on its windows."""
+    monkeypatch.setattr(passages, "SLICE_BYTES", 4_000)
+    rng = random.Random(11)
+    shared = words(rng, 60)
+    texts = [f"{words(rng, 20)} {shared} {words(rng, 20)}" for _ in range(80)]
+    slices = passages.stage(passages.slices(docs_of(spark, *texts), tmp_path.as_uri(), 35, 4)).where("lot is null")
+    places = slices.select("slice", F.explode(F.array(F.lit(20).cast("long"), F.lit(37).cast("long"))).alias("at"))
+    packed = passages.window_hashes(places, tmp_path.as_uri(), 35, 4)
+    assert packed.groupBy("slice", "lot").count().where("count > 1").count() == 0
+    assert packed.rdd.getNumPartitions() == 4
+    found = passages.single_windows(places, tmp_path.as_uri(), 35, 4)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # 17 words around each of the runs 20..37 and 37..54 that the first text of a slice has in common
+    n = slices.count()
+    assert n > 1 and found.groupBy("at").count().orderBy("at").collect() == [(at, n) for at in range(20, 38)]

@@ -7,6 +7,7 @@ not decode keeps its source columns, has null fields and the reason in ``decode_
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from rowtide.functions.arrow_rows import to_column, to_rows
 from rowtide.functions.avro_bytes import record_bytes
 from rowtide.functions.record_codec import RECORD_AVRO_SCHEMA, decode_record
 from rowtide.schemas import ENVELOPE_BODY, RECORD_BODY, RECORD_FIELDS
@@ -110,7 +112,7 @@ def _decoded(
                     errors.append(f"{type(error).__name__}: {error}")
             columns = [batch.column(c) for c in kept]
             columns += [
-                pa.array([row.get(f.name) for row in rows], type=f.type) for f in body_arrow
+                to_column([row.get(f.name) for row in rows], f.type) for f in body_arrow
             ]
             columns.append(pa.array(errors, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
@@ -127,7 +129,8 @@ def _encoded(df: DataFrame, fields, encode: Callable[[dict], bytes]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [encode(row) for row in batch.select(fields).to_pylist()]
+            rows = zip(*[to_rows(batch.column(c)) for c in fields], strict=True)
+            values = [encode(dict(zip(fields, row, strict=True))) for row in rows]
             columns = [batch.column(c) for c in kept] + [pa.array(values, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -164,8 +167,11 @@ def _parse(name: str, data: bytes):
     return message
 
 
+_CELL_VALUES = attrgetter(*_CELL.values())
+
+
 def _cells_of(columns) -> list[dict]:
-    return [{k: getattr(column, f) for k, f in _CELL.items()} for column in columns]
+    return [dict(zip(_CELL, _CELL_VALUES(column))) for column in columns]
 
 
 def _envelope_of(data: bytes) -> dict:
@@ -258,7 +264,7 @@ def _envelope_bytes(row: dict) -> bytes:
             added = change.rowDatas.add()
             for side, columns in (("before", added.beforeColumns), ("after", added.afterColumns)):
                 for cell in row_data[side] or []:
-                    _fill(columns.add(), cell, _CELL)
+                    columns.add(**{field: cell[k] for k, field in _CELL.items() if cell[k] is not None})
         entry.storeValue = change.SerializeToString()
     elif kind == "TRANSACTIONBEGIN" and row["tx_begin"] is not None:
         begin = message_class("TransactionBegin")()

@@ -16,7 +16,10 @@ _SHORT = 5
 
 
 def long_hex(value: Column, most: int = 10) -> Column:
-    """A zig-zag variable-length integer: groups of 7 bits, all but the last marked."""
+    """A zig-zag variable-length integer: groups of 7 bits, all but the last marked.
+
+    Most lengths and counts are one group; they are told first, so that the groups are not tried one by one.
+    """
     value = value.cast("bigint")
     folded = F.shiftleft(value, 1).bitwiseXOR(F.shiftright(value, 63))
     n = long_size(value)
@@ -25,7 +28,7 @@ def long_hex(value: Column, most: int = 10) -> Column:
     groups = [
         F.when(n == i + 1, digits(group(i))).when(n > i + 1, digits(group(i).bitwiseOR(F.lit(0x80)))) for i in range(most)
     ]
-    return F.concat_ws("", *groups)
+    return F.when(value.between(0, 63), digits(F.shiftleft(value, 1))).otherwise(F.concat_ws("", *groups))
 
 
 def text_hex(text: Column) -> Column:

@@ -845,10 +845,16 @@ def p1_placed_messages(spark, sf_dir):
 
 @_query
 def r3_digest_differences(spark, sf_dir):
-    """Keys that one of two feeds lacks; digests of each feed were kept in two runs."""
+    """Keys that one of two feeds lacks; digests of each feed were kept in two runs.
+
+    A feed is stored once: its digests and the comparison read the stored keys.
+    """
     left, right = _sides(spark, sf_dir)
     sides = {"json": left.where("src_offset div 2 % 53 != 5"), "record": right}
     out = _scratch(spark)
+    for name, feed in sides.items():
+        feed.select("src_offset", "change_key").write.parquet(f"{out}/feeds/{name}")
+        sides[name] = spark.read.schema("src_offset bigint, change_key string").parquet(f"{out}/feeds/{name}")
     for name, feed in sides.items():
         for step in (0, 1):
             KD.keep_digests(feed.where(F.expr("src_offset div 2 % 2") == step), out, step, name)

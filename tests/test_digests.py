@@ -78,3 +78,11 @@ def test_feeds_are_filtered_before_they_are_shuffled(spark):
     frame = D.differences(left, right, D.key_digests(left), D.key_digests(right))
     plan = frame._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "Cartesian" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
+def test_query_converts_a_feed_once(spark):
+    """Digests and comparison read the stored feeds; the tables of the log are not read again."""
+    from checks.queries import r3_digest_differences
+
+    read = r3_digest_differences(spark, "/root/testdata/sf0.001").inputFiles()
+    assert read and not [path for path in read if "orders.parquet" in path]

@@ -79,8 +79,9 @@ def change_log(orders: DataFrame) -> DataFrame:
         "explode(if(k % 11 = 0 and k >= 8, array(0, 1), array(0))) as replay",
     )
     is_row = "entry_type = 'ROWDATA'"
+    # Rows beyond n_rows are sliced off; null in their place, they are not computed first.
     rows = ", ".join(
-        f"named_struct('before', {_side(0, 'INSERT', i)}, 'after', {_side(1, 'DELETE', i)})"
+        f"if(n_rows >= {i}, named_struct('before', {_side(0, 'INSERT', i)}, 'after', {_side(1, 'DELETE', i)}), null)"
         for i in range(1, _MOST_ROWS + 1)
     )
     row_datas = f"slice(array({rows}), 1, n_rows)"

@@ -146,6 +146,16 @@ def _hashed(pieces: Iterator[_Piece]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, np.uint64), *parts]), np.array([*begins, n], np.int64)
 
 
+def _begins(pieces: Iterator[_Piece]) -> np.ndarray:
+    """The first word of every document of a slice, and the number of words."""
+    begins, n = [], 0
+    for _, first, words in pieces:
+        if first:
+            begins.append(n)
+        n += len(words)
+    return np.array([*begins, n], np.int64)
+
+
 def _keys(run: np.ndarray, lots: int) -> np.ndarray:
     """Lot and 32 further bits of every hash."""
     low = np.uint64(32)
@@ -247,13 +257,17 @@ _HITS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("n", pa.int32())
 
 def _hit_places(run: np.ndarray, kind: np.ndarray, lots: int, rows: pa.Table) -> np.ndarray:
     """Places of the slice whose probes were told to be hits."""
-    keys, _, _ = _distinct(run, kind, lots)
+    places = np.flatnonzero(kind)
+    every = _keys(run[places], lots)
+    by = np.argsort(every)
+    every = every[by]
+    new = np.append(True, every[1:] != every[:-1])[: len(every)]
+    keys = every[new]
     hit = np.zeros(len(keys), bool)
     for lot, n, bits in zip(*(rows.column(c).to_pylist() for c in ("lot", "n", "bits")), strict=True):
         at = int(np.searchsorted(keys, np.uint64(lot << 32)))
         hit[at : at + n] = _bits(bits, n)
-    places = np.flatnonzero(kind)
-    return places[hit[np.searchsorted(keys, _keys(run[places], lots))]]
+    return np.sort(places[by[hit[np.cumsum(new) - 1]]])
 
 
 def _contexts(pieces: Iterator[_Piece], places: np.ndarray, begins: np.ndarray, window: int) -> Iterator[tuple[int, int, bytes]]:
@@ -401,7 +415,7 @@ def extend(distinct: DataFrame, window: int) -> DataFrame:
 
 
 _WINDOWS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("places", pa.binary())])
-_REPEATED = pa.schema([("slice", pa.int64()), ("at", pa.int64()), ("mask", pa.int64())])
+_STARTS = pa.schema([("slice", pa.int64()), ("starts", pa.binary())])
 
 
 def window_hashes(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
@@ -410,7 +424,7 @@ def window_hashes(places: DataFrame, folder: str, window: int, lots: int) -> Dat
     def cut(rows: pa.Table) -> pa.Table:
         name = rows.column("slice")[0].as_py()
         at = np.unique(rows.column("at").to_numpy())
-        begins = _hashed(_read_pieces(folder, name))[1]
+        begins = _begins(_read_pieces(folder, name))
         starts, hashes, last = [], [], -1
         for place, lead, data in _contexts(_read_pieces(folder, name), at, begins, window):
             words = data.split(b" ")
@@ -431,11 +445,11 @@ def window_hashes(places: DataFrame, folder: str, window: int, lots: int) -> Dat
     return dealt.groupBy("slice").applyInArrow(cut, "slice long, lot int, sigs binary, places binary")
 
 
-def single_windows(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
-    """slice, at, mask: repeated windows around hits (slice, at), each counted by itself.
+def repeated_starts(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
+    """slice, starts: where repeated windows around hits (slice, at) begin, each window counted by itself.
 
-    All windows of a hash are in its lot, as 24 packed bytes each: no row a window, and no join on a
-    window that very many places have.
+    All windows of a hash are in its lot, as 24 packed bytes each, and go back as 8 packed bytes in a row per
+    slice and lot: no row a window, and no join on a window that very many places have.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,21 +464,39 @@ def single_windows(places: DataFrame, folder: str, window: int, lots: int) -> Da
             equal = (sigs[by[1:]] == sigs[by[:-1]]).all(axis=1)
             repeated = np.zeros(len(sigs), bool)
             repeated[by[1:][equal]] = repeated[by[:-1][equal]] = True
-            end = 0
+            names, starts, end = [], [], 0
             for name, _, packed in rows:
                 at = np.frombuffer(packed, "<i8")
                 begin, end = end, end + len(at)
                 at = at[repeated[begin:end]]
                 if len(at):
-                    columns = [np.full(len(at), name, np.int64), at, np.ones(len(at), np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_REPEATED)
+                    names.append(name)
+                    starts.append(at.tobytes())
+            if names:
+                yield pa.RecordBatch.from_pydict({"slice": names, "starts": starts}, schema=_STARTS)
 
     windows = stage(window_hashes(places, folder, window, lots))
-    return windows.repartitionById(lots, F.col("lot")).mapInArrow(meet, "slice long, at long, mask long")
+    return windows.repartitionById(lots, F.col("lot")).mapInArrow(meet, "slice long, starts binary")
+
+
+def single_windows(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
+    """slice, at, mask: the repeated windows around hits (slice, at), a row each."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.frombuffer(starts, "<i8")
+                columns = [np.full(len(at), name, np.int64), at, np.ones(len(at), np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slice", "at", "mask"])
+
+    return repeated_starts(places, folder, window, lots).mapInArrow(spread, "slice long, at long, mask long")
 
 
 def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: int = CAPACITY) -> DataFrame:
-    """slice, at, mask: bit o says that the window o words before ``at`` is repeated; a null row for every slice."""
+    """slice, at, mask, starts: bit o says that the window o words before ``at`` is repeated.
+
+    ``starts`` are packed places where others begin. Every slice has a row of nulls.
+    """
     spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     lots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // LOT_BYTES))
@@ -482,8 +514,10 @@ def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: i
     hot = stage(distinct.groupBy("h").count().where(F.col("count") > capacity).select("h"))
     verdict = extend(distinct.join(hot, "h", "left_anti"), window)
     out = placed.select("slice", "at", "cid").join(verdict, "cid").select("slice", "at", "mask").unionByName(marks)
+    out = out.withColumn("starts", F.lit(None).cast("binary"))
     if not hot.isEmpty():
-        out = out.unionByName(single_windows(placed.join(hot, "h", "left_semi"), folder, window, lots))
+        singly = repeated_starts(placed.join(hot, "h", "left_semi"), folder, window, lots)
+        out = out.unionByName(singly.select("slice", none.alias("at"), none.alias("mask"), "starts"))
     return out
 
 
@@ -527,8 +561,11 @@ def remove_repeated_windows(
                 ids.append(doc_id)
                 sizes.append(0)
             sizes[-1] += len(words)
+        starts = np.frombuffer(b"".join(rows.column("starts").drop_null().to_pylist()), "<i8")
         rows = rows.filter(rows.column("at").is_valid())
-        gone = _covered(sum(sizes), rows.column("at").to_numpy(), rows.column("mask").to_numpy(), window)
+        at = np.concatenate([rows.column("at").to_numpy(), starts])
+        mask = np.concatenate([rows.column("mask").to_numpy(), np.ones(len(starts), np.int64)])
+        gone = _covered(sum(sizes), at, mask, window)
         out, at, k = [], 0, -1
         pieces = _read_pieces(folder, name)
         digest, kept, any_kept = hashlib.sha256(), [], False

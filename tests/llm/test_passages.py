@@ -93,3 +93,19 @@ def test_hot_windows_are_packed_by_slice_and_lot(spark, monkeypatch, tmp_path):
     # 17 words around each of the runs 20..37 and 37..54 that the first text of a slice has in common
     n = slices.count()
     assert n > 1 and found.groupBy("at").count().orderBy("at").collect() == [(at, n) for at in range(20, 38)]
+
+
+def test_hot_windows_go_back_packed(spark, monkeypatch, tmp_path):
+    """A passage of a great many texts is told in a row per slice and lot, however many places have it."""
+    monkeypatch.setattr(passages, "SLICE_BYTES", 4_000)
+    rng = random.Random(12)
+    shared = words(rng, 60)
+    texts = [f"{words(rng, 20)} {shared} {words(rng, 20)}" for _ in range(80)]
+    frame = docs_of(spark, *texts)
+    found = passages.stage(passages.repeats(frame, tmp_path.as_uri(), 35, 2))
+    lots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    told = found.where("starts is not null")
+    assert 0 < told.count() <= lots * found.where("at is null and starts is null").count()
+    # no window of the passage is a row of its own: those are all of blocks with over two contexts
+    assert told.agg(F.sum(F.octet_length("starts"))).first()[0] // 8 >= 80 * 26
+    assert rows_of(passages.remove_repeated_windows(frame, 35, 2)) == repeated(texts, 35)

@@ -100,3 +100,61 @@ def test_unmatched_tags_take_linear_time(broken):
         times.append(time.process_time() - start)
     # eight times the page: 64 times the work if it were quadratic
     assert times[1] < 20 * times[0] + 0.2
+
+
+def framed(sources):
+    return [(i, "http://a.org/", source) for i, source in enumerate(sources)], PAGES
+
+
+def test_equal_texts_have_a_role_in_each_slot(spark):
+    """A text that stands in every menu is template there, and content where the article says it."""
+    rng = random.Random(3)
+    sources = []
+    for i in range(24):
+        said = ["<p>News</p>"] * (i % 3)
+        sources.append(f"<div><b>Site</b><p>News</p><i>of today</i>{''.join(said)}<p>w{rng.random()}</p></div>")
+    got = {r.page_id: r.text.split("\n") for r in html_text.main_texts(spark.createDataFrame(*framed(sources))).collect()}
+    assert all(got[i][:-1] == ["News"] * (i % 3) and got[i][-1].startswith("w0.") for i in range(24))
+
+
+def test_texts_in_changing_order_are_no_class(spark):
+    """Of two texts that change places, one can be in the template's order; the other is a slot's content."""
+    parts = ["<h3>left</h3>", "<h4>right</h4>"]
+    sources = [f"<div><h1>Site</h1>{''.join(parts[:: 1 - 2 * (i % 2)])}<p>{i}</p><h2>End</h2></div>" for i in range(30)]
+    got = [r.text for r in html_text.main_texts(spark.createDataFrame(*framed(sources))).orderBy("page_id").collect()]
+    assert all(("left" in t) + ("right" in t) == 1 and "Site" not in t and "End" not in t for t in got)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trees_are_ordered_and_nested(spark, seed):
+    """On every page, tokens of the tree open, go on with and close classes like brackets, each in one slot of one class."""
+    rng = random.Random(seed)
+    sources = []
+    for i in range(40):
+        links = "".join(f"<li><a>x{rng.randrange(3)}</a><b>more</b>by<em>us</em></li>" for _ in range(rng.randrange(1, 4)))
+        swapped = "".join(rng.sample(["<h3>s</h3>", "<h4>t</h4>", "<h5>u</h5>"], 3))
+        often = "<section><q>a</q><div>b</div><div>c</div></section>" * (rng.random() < 0.7)
+        both = [f"<ul>{links}</ul>", often] if rng.random() < 0.5 else [often, f"<ul>{links}</ul>"]
+        sources.append(f"<div><u>go</u><div>on</div>{swapped}<p>{rng.random()}</p><div><u>go</u></div>{''.join(both)}</div>")
+    frame = spark.createDataFrame(*framed(sources))
+    nodes = html_text.trees(frame)
+    assert nodes.where("level > 1").count() > 0
+    [packed] = html_text._packed(nodes).toArrow().column("nodes").combine_chunks()
+    tree = html_text._Tree(packed.values)
+    slots = defaultdict(set)
+    for source in sources:
+        tokens, _ = html_text.Page(source).sequence()
+        open_classes = []
+        for node in tree.roles(tokens, html_text.np.array([len(tokens)]))[1].tolist():
+            if node < 0:
+                continue
+            cls, rank, size = (int(c[node]) for c in (tree.cls, tree.rank, tree.size))
+            if rank == 0:
+                slots[cls].add(tuple(open_classes[-1]) if open_classes else ())
+                open_classes.append([cls, 0])
+            assert open_classes[-1][0] == cls
+            open_classes[-1][1] = rank + 1
+            if rank + 1 == size:
+                open_classes.pop()
+        assert not open_classes
+    assert len(slots) > 2 and all(len(where) == 1 for where in slots.values())

@@ -310,7 +310,7 @@ def _mixed(left: np.ndarray, right: np.ndarray | int) -> np.ndarray:
 
 
 _NODE = (
-    "level int, depth int, cls long, rank int, size int, token long, is_text boolean, "
+    "level int, cls long, rank int, size int, token long, is_text boolean, "
     "high long, low long, count long, support long"
 )
 _NODES = f"host string, pages long, {_NODE}"
@@ -321,36 +321,44 @@ class _Tree:
     """Nodes of a host's tree of classes, as columns."""
 
     def __init__(self, nodes: pa.StructArray | None):
-        names = ("level", "depth", "cls", "rank", "size", "token")
-        columns = [np.zeros(0, np.int64)] * 6 if nodes is None else [nodes.field(f).to_numpy(False).astype(np.int64) for f in names]
-        self.level, self.depth, self.cls, self.rank, self.size, self.token = columns
-
-    def inside(self, cls: np.ndarray, which: int, size: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Slot of a class in which every place is, 0 for none; ``cls`` has the class of each place."""
-        mark = cls == which
-        seen = np.cumsum(mark)
-        return (seen - np.repeat(seen[starts] - mark[starts], lengths)) % size
+        names = ("level", "cls", "rank", "size", "token")
+        columns = [np.zeros(0, np.int64)] * 5 if nodes is None else [nodes.field(f).to_numpy(False).astype(np.int64) for f in names]
+        self.level, self.cls, self.rank, self.size, self.token = columns
+
+    def steps(self, node: np.ndarray, page: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Page, class, rank and size of nodes one behind the other."""
+        return zip(page.tolist(), self.cls[node].tolist(), self.rank[node].tolist(), self.size[node].tolist(), strict=True)
+
+    def slots(self, node: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Innermost slot (0 for none) and its class of every place that is no node."""
+        at = np.flatnonzero(node >= 0)
+        page = np.repeat(np.arange(len(lengths)), lengths)
+        after: list[tuple[int, int]] = [(0, 0)]
+        around: list[tuple[int, int]] = []
+        last = -1
+        for own, cls, rank, size in self.steps(node[at], page[at]):
+            if own != last:
+                around, last = [], own
+            if rank and around:
+                around.pop()
+            if rank + 1 < size:
+                around.append((cls, rank + 1))
+            after.append(around[-1] if around else (0, 0))
+        before = np.cumsum(node >= 0)
+        first = np.repeat(before[np.cumsum(lengths) - lengths] - (node[np.cumsum(lengths) - lengths] >= 0), lengths)
+        outer, rank = np.array(after, np.int64)[np.where(before > first, before, 0)].T
+        return np.where(rank > 0, _mixed(rank, outer), 0), outer
 
     def roles(self, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """Role, node (-1 for none), slot and its class of every token of pages one behind the other."""
         role, node = tokens.copy(), np.full(len(tokens), -1)
         slot, outer = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
-        starts = np.cumsum(lengths) - lengths
         for level in np.unique(self.level).tolist():
             own = np.flatnonzero(self.level == level)
             own = own[np.argsort(self.token[own])]
             near = own[np.minimum(np.searchsorted(self.token[own], role), len(own) - 1)]
             node = np.where((node < 0) & (self.token[near] == role), near, node)
-            slot[:], outer[:] = 0, 0
-            known = np.flatnonzero(self.level <= level)
-            cls = np.where(node < 0, 0, self.cls[node])
-            _, first = np.unique(self.cls[known], return_index=True)
-            for i in sorted(known[first].tolist(), key=lambda i: self.depth[i]):
-                if self.size[i] > 1:
-                    within = self.inside(cls, self.cls[i], self.size[i], starts, lengths)
-                    at = np.flatnonzero(within)
-                    slot[at] = _mixed(within[at], self.cls[i])
-                    outer[at] = self.cls[i]
+            slot, outer = self.slots(node, lengths)
             role = np.where(node < 0, _mixed(tokens, slot), tokens)
         return role, node, slot, outer
 
@@ -473,21 +481,25 @@ def structure(sequences: DataFrame, level: int) -> DataFrame:
                 out.update(int(tree.token[node[begin + k]]) for k in _outside(keys))
         return out
 
-    def pairs(tree: _Tree, node: np.ndarray, lengths: np.ndarray, page: np.ndarray) -> Iterator[tuple[int, ...]]:
-        cls = tree.cls[node]
-        by = np.lexsort((cls, page))
-        begins = np.flatnonzero(np.append(True, (np.diff(cls[by]) != 0) | (np.diff(page[by]) != 0))[: len(by)])
-        inner = cls[by][begins]
-        lengths = lengths[lengths > 0]
-        starts = np.cumsum(lengths) - lengths
-        for which, i in zip(*np.unique(cls, return_index=True), strict=True):
-            if tree.size[node[i]] < 2:
-                continue  # it has no slots
-            within = tree.inside(cls, which, tree.size[node[i]], starts, lengths)[by]
-            low, high = np.minimum.reduceat(within, begins), np.maximum.reduceat(within, begins)
-            for other in np.unique(inner[(high > 0) & (inner != which)]).tolist():
-                own = (inner == other) & (high > 0)
-                yield other, int(which), int(low[own].min()), int(high[own].max()), int(own.sum())
+    def pairs(tree: _Tree, node: np.ndarray, page: np.ndarray) -> Iterator[tuple[int, ...]]:
+        found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for _, steps in itertools.groupby(tree.steps(node, page), key=lambda step: step[0]):
+            around: dict[int, int] = {}
+            times: Counter[int] = Counter()
+            seen: dict[tuple[int, int], list[int]] = {}
+            for _, cls, rank, size in steps:
+                times[cls] += 1
+                for outer, slot in around.items():
+                    if outer != cls:
+                        seen.setdefault((cls, outer), []).append(slot)
+                if rank + 1 < size:
+                    around[cls] = rank + 1
+                else:
+                    around.pop(cls, None)
+            for pair, own in seen.items():
+                low, high, n = found.get(pair, (max(own), 0, 0))
+                found[pair] = (min(low, *own) if len(own) == times[pair[0]] else 0, max(high, *own), n + 1)
+        return ((*pair, *told) for pair, told in found.items())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -498,7 +510,7 @@ def structure(sequences: DataFrame, level: int) -> DataFrame:
                 if len(at):
                     page = np.repeat(np.arange(len(lengths)), lengths)[at]
                     rows += [(host, token, None, None, None, None, None) for token in sorted(disorder(tree, node[at], page))]
-                    rows += [(host, None, *pair) for pair in pairs(tree, node[at], np.bincount(page, minlength=len(lengths)), page)]
+                    rows += [(host, None, *pair) for pair in pairs(tree, node[at], page)]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
@@ -516,7 +528,7 @@ def _ranked(nodes: DataFrame) -> DataFrame:
 def grown(sequences: DataFrame, known: DataFrame | None, found: DataFrame, level: int) -> DataFrame:
     """Nodes of the tree with those of a level's valid classes that are ordered and cross none before them."""
     ids = F.xxhash64("high", "low", "slot", F.lit(level))
-    chosen = found.where("valid").withColumns({"cls": ids, "level": F.lit(level), "depth": F.lit(1 << 20)})
+    chosen = found.where("valid").withColumns({"cls": ids, "level": F.lit(level)})
     chosen = chosen.select("host", "pages", *(f for f in _FIELDS if f not in ("rank", "size")), "place", "least")
     while True:
         chosen = stage(_ranked(chosen))
@@ -535,11 +547,7 @@ def grown(sequences: DataFrame, known: DataFrame | None, found: DataFrame, level
     cross = pairs.where("low != high or n != count").select(
         "host", F.when(F.col("of_inner") > F.col("of_outer"), F.col("inner")).otherwise(F.col("outer")).alias("cls")
     )
-    every = every.join(cross.distinct(), ["host", "cls"], "left_anti")
-    left = every.select("host", F.col("cls").alias("outer")).distinct()
-    depth = pairs.join(left, ["host", "outer"], "left_semi").groupBy("host", F.col("inner").alias("cls")).agg(F.count("*").cast("int").alias("_d"))
-    every = every.join(depth, ["host", "cls"], "left").withColumn("depth", F.coalesce("_d", F.lit(0)))
-    return stage(every.select("host", "pages", *_FIELDS))
+    return stage(every.join(cross.distinct(), ["host", "cls"], "left_anti").select("host", "pages", *_FIELDS))
 
 
 def trees(pages: DataFrame) -> DataFrame:

@@ -158,3 +158,19 @@ def test_trees_are_ordered_and_nested(spark, seed):
                 open_classes.pop()
         assert not open_classes
     assert len(slots) > 2 and all(len(where) == 1 for where in slots.values())
+
+
+def test_slots_of_many_classes_take_linear_time():
+    times = []
+    for n in (1_000, 16_000):
+        nodes = [{"level": 1, "cls": i // 3 + 1, "rank": i % 3, "size": 3, "token": i + 1} for i in range(3 * n)]
+        tokens = html_text.np.arange(1, 3 * n + 1).repeat(2)
+        tokens[1::2] = -5
+        tree = html_text._Tree(html_text.pa.array(nodes))
+        start = time.process_time()
+        _, _, slot, outer = tree.roles(tokens, html_text.np.array([len(tokens)]))
+        times.append(time.process_time() - start)
+        # after the first and second token of a class there is a slot, after the third none
+        assert [len(set(slot[1::6])), len(set(slot[3::6])), set(slot[5::6])] == [n, n, {0}] and outer[1] == 1
+    # sixteen times the classes: 256 times the work if each met all tokens
+    assert times[1] < 50 * times[0] + 0.2

@@ -551,7 +551,7 @@ def grown(sequences: DataFrame, known: DataFrame | None, found: DataFrame, level
 
 
 def trees(pages: DataFrame) -> DataFrame:
-    """Nodes (host, pages, level, depth, class, rank in it, token ...) of the hosts' templates."""
+    """Nodes (host, pages, level, class, rank in it, token ...) of the hosts' templates."""
     sequences = stage(page_sequences(pages).sortWithinPartitions("host"))
     nodes = None
     for level in itertools.count(1):

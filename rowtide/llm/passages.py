@@ -6,7 +6,8 @@ a probe. A window that is repeated has a block that is also probed from somewher
 
 1. Tasks write the texts to slice files in the shared folder and give the hashes of their probes, once
    per slice and with marks for blocks and repeats, in one packed row per lot of hashes.
-2. A lot tells each slice by a bit per hash which of its probes hit a block and are not alone.
+2. A lot tells each slice by a bit per hash which of its probes hit a block and are not alone, and
+   by another which of those are at over ``capacity`` places.
 3. The tasks of the slices cut out the words around their hits, a context each. Equal contexts are
    one row with a count from then on, and each carries its words once per slice.
 4. All contexts of a block meet, and every hit is extended word by word, to the left by each length
@@ -15,9 +16,9 @@ a probe. A window that is repeated has a block that is also probed from somewher
 5. The windows inside the maximal repeats go back to the places, and the words they cover are removed.
 
 Hashes of probes only nominate (32 bits within a lot); what is repeated is decided on the words. A
-block with over ``capacity`` different contexts is taken apart into its single windows, which are
-counted by a 128-bit hash each: packed by slice and lot of hashes, without any task that holds the
-block's rows.
+block at over ``capacity`` places has no contexts: it is taken apart into its single windows, which
+are counted by a 128-bit hash each: packed by slice and lot of hashes, once per slice, without a row
+a place and without any task that holds the block's rows.
 
 Lots are as many as the corpus needs to keep each below a set size. Long texts are handled in pieces
 cut at white space; a slice with one long text holds 8 bytes a word and some arrays of that size.
@@ -50,7 +51,7 @@ SLICE_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20
 LOT_BYTES = 6 << 20
 SEARCHED = 6_000
-#: Different contexts of a block beyond which its windows are counted singly.
+#: Places of a block beyond which its windows are counted singly.
 CAPACITY = 6_000
 #: Words whose hash a worker remembers.
 REMEMBERED = 500_000
@@ -163,11 +164,11 @@ def _keys(run: np.ndarray, lots: int) -> np.ndarray:
 
 
 def _distinct(run: np.ndarray, kind: np.ndarray, lots: int) -> tuple[np.ndarray, ...]:
-    """The slice's probes as sorted distinct keys, with marks for blocks and for more than one place."""
+    """The slice's probes as sorted distinct keys, with marks for blocks and the number of places."""
     keys, n = np.unique(_keys(run[kind > 0], lots), return_counts=True)
     block = np.zeros(len(keys), bool)
     block[np.searchsorted(keys, _keys(run[kind == 2], lots))] = True
-    return keys, block, n > 1
+    return keys, block, n
 
 
 def slices(documents: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
@@ -187,18 +188,17 @@ def slices(documents: DataFrame, folder: str, window: int, lots: int) -> DataFra
                 stored = pa.Table.from_arrays(columns, schema=_SLICE)
                 pq.write_table(stored, out, compression="zstd", use_dictionary=False, row_group_size=4096)
             hashes, begins = _hashed((i, first, text.split()) for i, first, text in rows)
-            keys, block, more = _distinct(*probes(hashes, begins, window), lots)
+            keys, block, times = _distinct(*probes(hashes, begins, window), lots)
             own, at = np.unique(keys >> np.uint64(32), return_index=True)
             ends = np.append(at, len(keys))[1:]
-            sigs = keys.astype("<u4")
+            sigs, more, times = keys.astype("<u4"), times > 1, times.astype("<u4")
             packed = [
-                (int(lot), sigs[a:b].tobytes(), np.packbits(block[a:b]).tobytes(), np.packbits(more[a:b]).tobytes())
+                (int(lot), sigs[a:b].tobytes(), *(np.packbits(x[a:b]).tobytes() for x in (block, more)), times[a:b][more[a:b]].tobytes())
                 for lot, a, b in zip(own.tolist(), at.tolist(), ends.tolist(), strict=True)
             ]
-            lot, sig, blocks, mores = zip((None, b"", b"", b""), *packed, strict=True)
-            return pa.RecordBatch.from_pydict(
-                {"slice": [name] * len(lot), "lot": lot, "sigs": sig, "blocks": blocks, "more": mores}, schema=_PACKED
-            )
+            columns = zip((None, b"", b"", b"", b""), *packed, strict=True)
+            own = [name] * (1 + len(packed))
+            return pa.RecordBatch.from_pydict(dict(zip(_PACKED.names, (own, *columns), strict=True)), schema=_PACKED)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -212,11 +212,11 @@ def slices(documents: DataFrame, folder: str, window: int, lots: int) -> DataFra
             yield flush()
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(cut, "slice long, lot int, sigs binary, blocks binary, more binary")
+    return chosen.mapInArrow(cut, "slice long, lot int, sigs binary, blocks binary, more binary, times binary")
 
 
 _PACKED = pa.schema(
-    [("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("blocks", pa.binary()), ("more", pa.binary())]
+    [("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("blocks", pa.binary()), ("more", pa.binary()), ("times", pa.binary())]
 )
 
 
@@ -224,11 +224,11 @@ def _bits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
-def hits(packed: DataFrame, lots: int) -> DataFrame:
-    """slice, lot, n and bits: which probes of a slice hit a block and are at two places at least."""
+def hits(packed: DataFrame, lots: int, capacity: int) -> DataFrame:
+    """slice, lot, n, bits and hot: which probes of a slice hit a block and are at two places at least, or at over ``capacity``."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of: dict[int, list[tuple[int, bytes, bytes, bytes]]] = {}
+        of: dict[int, list[tuple[int, bytes, bytes, bytes, bytes]]] = {}
         for batch in batches:
             for name, lot, *data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 of.setdefault(lot, []).append((name, *data))
@@ -236,38 +236,44 @@ def hits(packed: DataFrame, lots: int) -> DataFrame:
             rows = of.pop(lot)
             sigs = [np.frombuffer(r[1], "<u4") for r in rows]
             block = np.concatenate([_bits(r[2], len(s)) for r, s in zip(rows, sigs, strict=True)])
-            places = 1 + np.concatenate([_bits(r[3], len(s)) for r, s in zip(rows, sigs, strict=True)])
+            places = np.ones(len(block), np.uint32)
+            places[np.concatenate([_bits(r[3], len(s)) for r, s in zip(rows, sigs, strict=True)])] = np.frombuffer(b"".join(r[4] for r in rows), "<u4")
             _, group = np.unique(np.concatenate(sigs), return_inverse=True)
-            hit = (np.bincount(group, places) > 1) & (np.bincount(group, block) > 0)
+            times = np.bincount(group, places)
+            hit = (times > 1) & (np.bincount(group, block) > 0)
+            hot = (hit & (times > capacity))[group]
             hit, at, out = hit[group], 0, []
             for r, s in zip(rows, sigs, strict=True):
-                own = hit[at : at + len(s)]
+                own, many = hit[at : at + len(s)], hot[at : at + len(s)]
                 at += len(s)
                 if own.any():
-                    out.append((r[0], lot, len(s), np.packbits(own).tobytes()))
+                    out.append((r[0], lot, len(s), np.packbits(own).tobytes(), np.packbits(many).tobytes() if many.any() else None))
             if out:
                 yield pa.RecordBatch.from_pydict(dict(zip(_HITS.names, zip(*out, strict=True), strict=True)), schema=_HITS)
 
     placed = packed.where("lot is not null").repartitionById(lots, F.col("lot"))
-    return placed.mapInArrow(meet, "slice long, lot int, n int, bits binary")
+    return placed.mapInArrow(meet, "slice long, lot int, n int, bits binary, hot binary")
 
 
-_HITS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("n", pa.int32()), ("bits", pa.binary())])
+_HITS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("n", pa.int32()), ("bits", pa.binary()), ("hot", pa.binary())])
 
 
-def _hit_places(run: np.ndarray, kind: np.ndarray, lots: int, rows: pa.Table) -> np.ndarray:
-    """Places of the slice whose probes were told to be hits."""
+def _hit_places(run: np.ndarray, kind: np.ndarray, lots: int, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the slice whose probes were told to be hits, and those of hot ones."""
     places = np.flatnonzero(kind)
     every = _keys(run[places], lots)
     by = np.argsort(every)
     every = every[by]
     new = np.append(True, every[1:] != every[:-1])[: len(every)]
     keys = every[new]
-    hit = np.zeros(len(keys), bool)
-    for lot, n, bits in zip(*(rows.column(c).to_pylist() for c in ("lot", "n", "bits")), strict=True):
+    told = np.zeros(len(keys), np.int8)
+    for lot, n, *bits in zip(*(rows.column(c).to_pylist() for c in ("lot", "n", "bits", "hot")), strict=True):
         at = int(np.searchsorted(keys, np.uint64(lot << 32)))
-        hit[at : at + n] = _bits(bits, n)
-    return np.sort(places[by[hit[np.cumsum(new) - 1]]])
+        for x in filter(None, bits):
+            told[at : at + n] += _bits(x, n)
+    of = np.empty(len(places), np.int8)
+    of[by] = told[np.cumsum(new) - 1]
+    return places[of == 1], places[of == 2]
 
 
 def _contexts(pieces: Iterator[_Piece], places: np.ndarray, begins: np.ndarray, window: int) -> Iterator[tuple[int, int, bytes]]:
@@ -294,33 +300,43 @@ def _contexts(pieces: Iterator[_Piece], places: np.ndarray, begins: np.ndarray,
 
 
 def contexts(found: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
-    """slice, at, h, cid, lead and the words of every context; words once per slice and context."""
+    """slice, at and cid of every context; h, lead, its number of places and its words once per slice and context.
+
+    Rows with a lot have the packed windows around hot places instead, as ``window_hashes`` gives them.
+    """
 
     def cut(rows: pa.Table) -> pa.Table:
         name = rows.column("slice")[0].as_py()
         hashes, begins = _hashed(_read_pieces(folder, name))
         run, kind = probes(hashes, begins, window)
-        places = _hit_places(run, kind, lots, rows)
-        seen: set[bytes] = set()
-        at, leads, cids, data = [], [], [], []
-        for place, lead, words in _contexts(_read_pieces(folder, name), places, begins, window):
+        places, hot = _hit_places(run, kind, lots, rows)
+        first: dict[bytes, int] = {}
+        leads, cids, times, data = [], [], [], []
+        for k, (_, lead, words) in enumerate(_contexts(_read_pieces(folder, name), places, begins, window)):
             cid = xxhash.xxh3_128_digest(words, lead)
-            at.append(place)
-            leads.append(lead)
+            of = first.setdefault(cid, k)
             cids.append(cid)
-            data.append(None if cid in seen else words)
-            seen.add(cid)
-        columns = [np.full(len(at), name, np.int64), at, run[np.array(at, np.int64)].view(np.int64), cids, leads, data]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _PLACED.types, strict=True)], schema=_PLACED)
+            for column, value in ((leads, lead), (times, 0), (data, words)):
+                column.append(value if of == k else None)
+            times[of] += 1
+        h = pa.array(run[places].view(np.int64), mask=np.array([n is None for n in times], bool))
+        columns = [pa.array(c, t) for c, t in zip((cids, leads, times, data), _PLACED.types[3:], strict=True)]
+        single = pa.Table.from_arrays([pa.array(np.full(len(cids), name, np.int64)), pa.array(places), h, *columns], schema=_PLACED)
+        windows = _packed_windows(folder, name, _around(hot, begins, window), window, lots)
+        return pa.concat_tables([single, windows], promote_options="default")
 
     # A set number of tasks: the bits are few bytes, which would else end up in one task, and each slice is read again.
     dealt = found.repartition(lots, "slice")
-    return dealt.groupBy("slice").applyInArrow(cut, "slice long, at long, h long, cid binary, lead int, data binary")
+    columns = "slice long, at long, h long, cid binary, lead int, n long, data binary, lot int, sigs binary, times binary, places binary"
+    return dealt.groupBy("slice").applyInArrow(cut, columns)
 
 
 _PLACED = pa.schema(
-    [("slice", pa.int64()), ("at", pa.int64()), ("h", pa.int64()), ("cid", pa.binary()), ("lead", pa.int32()), ("data", pa.binary())]
-)
+    [
+        ("slice", pa.int64()), ("at", pa.int64()), ("h", pa.int64()), ("cid", pa.binary()), ("lead", pa.int32()), ("n", pa.int64()),
+        ("data", pa.binary()),
+    ]
+)
 
 
 def extended(group: np.ndarray, leads: list[int], data: list[bytes], window: int) -> np.ndarray:
@@ -363,8 +379,8 @@ def _valid(lead: int, n_words: int, window: int) -> int:
     return sum(1 << o for o in range(min(lead, window // 2) + 1) if n_words - lead + o >= window)
 
 
-def extend(distinct: DataFrame, window: int) -> DataFrame:
-    """cid, mask: the repeated windows of the contexts (h, cid, n, lead, data) that have any."""
+def extend(parts: DataFrame, window: int) -> DataFrame:
+    """cid, mask: the repeated windows of the contexts (h, cid, n, lead, data, a row per slice) that have any."""
     schema = pa.schema([("cid", pa.binary()), ("mask", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,72 +426,108 @@ def extend(distinct: DataFrame, window: int) -> DataFrame:
             search()
         yield pa.RecordBatch.from_pydict({"cid": cids, "mask": masks}, schema=schema)
 
-    placed = distinct.select("h", "cid", "n", "lead", "data").repartition("h").sortWithinPartitions("h", "cid")
-    return placed.mapInArrow(run, "cid binary, mask long")
+    # One shuffle for both: what is dealt by h is also together by h and cid.
+    distinct = parts.repartition("h").groupBy("h", "cid").agg(
+        F.sum("n").alias("n"), F.any_value("lead").alias("lead"), F.any_value("data").alias("data")
+    )
+    return distinct.sortWithinPartitions("h", "cid").mapInArrow(run, "cid binary, mask long")
 
 
-_WINDOWS = pa.schema([("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("places", pa.binary())])
+_WINDOWS = pa.schema(
+    [("slice", pa.int64()), ("lot", pa.int32()), ("sigs", pa.binary()), ("times", pa.binary()), ("places", pa.binary())]
+)
 _STARTS = pa.schema([("slice", pa.int64()), ("starts", pa.binary())])
 
 
+def _around(places: np.ndarray, begins: np.ndarray, window: int) -> np.ndarray:
+    """Where the windows begin that hold a block at one of the places."""
+    of = np.searchsorted(begins, places, side="right") - 1
+    first = np.maximum(places - window // 2, begins[of])
+    end = np.minimum(places, begins[of + 1] - window) + 1
+    some = first < end
+    edge = np.zeros(begins[-1] + 1, np.int64)
+    np.add.at(edge, first[some], 1)
+    np.add.at(edge, end[some], -1)
+    return np.flatnonzero(np.cumsum(edge) > 0)
+
+
+def _digests(pieces: Iterator[_Piece], starts: list[int], window: int) -> Iterator[bytes]:
+    """128-bit hash of the words of every window; a piece and a window's words are held at most."""
+    held: list[bytes] = []
+    base = k = 0
+    for _, _, words in pieces:
+        held += words
+        while k < len(starts) and starts[k] + window <= base + len(held):
+            at = starts[k] - base
+            yield xxhash.xxh3_128_digest(b" ".join(held[at : at + window]))
+            k += 1
+        if k == len(starts):
+            return
+        gone = min(len(held), starts[k] - base)
+        held, base = held[gone:], base + gone
+
+
+def _packed_windows(folder: str, name: int, starts: np.ndarray, window: int, lots: int) -> pa.Table:
+    """slice, lot, sigs, times and places of the windows that begin there: a hash once with its number of places."""
+    if not len(starts):
+        return _WINDOWS.empty_table()
+    sigs = np.frombuffer(b"".join(_digests(_read_pieces(folder, name), starts.tolist(), window)), "<u8").reshape(-1, 2)
+    by = np.lexsort((sigs[:, 1], sigs[:, 0]))
+    sigs, starts = sigs[by], starts[by].astype("<i8")
+    new = np.flatnonzero(np.append(True, (sigs[1:] != sigs[:-1]).any(axis=1)))
+    sigs, ends = sigs[new], np.append(new, len(starts))
+    times = np.diff(ends).astype("<u4")
+    own, first = np.unique(((sigs[:, 0] >> np.uint64(32)) * np.uint64(lots)) >> np.uint64(32), return_index=True)
+    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(sigs)], strict=True))
+    packed = [[x[a:b].tobytes() for a, b in cuts] for x in (sigs, times)]
+    columns = [[name] * len(own), own.astype(np.int32), *packed, [starts[ends[a] : ends[b]].tobytes() for a, b in cuts]]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _WINDOWS.types, strict=True)], schema=_WINDOWS)
+
+
 def window_hashes(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
-    """slice, lot, sigs, places: 128-bit hashes and places of the windows around hits (slice, at), packed by lot."""
+    """slice, lot, sigs, times, places: 128-bit hashes and places of the windows around hits (slice, at), packed by lot."""
 
     def cut(rows: pa.Table) -> pa.Table:
         name = rows.column("slice")[0].as_py()
         at = np.unique(rows.column("at").to_numpy())
-        begins = _begins(_read_pieces(folder, name))
-        starts, hashes, last = [], [], -1
-        for place, lead, data in _contexts(_read_pieces(folder, name), at, begins, window):
-            words = data.split(b" ")
-            for k in range(max(0, last + 1 - (place - lead)), len(words) - window + 1):
-                last = place - lead + k
-                starts.append(last)
-                hashes.append(xxhash.xxh3_128_digest(b" ".join(words[k : k + window])))
-        sigs = np.frombuffer(b"".join(hashes), "<u8").reshape(-1, 2)
-        lot = ((sigs[:, 0] >> np.uint64(32)) * np.uint64(lots)) >> np.uint64(32)
-        by = np.argsort(lot, kind="stable")
-        sigs, place = sigs[by], np.array(starts, "<i8")[by]
-        own, first = np.unique(lot[by], return_index=True)
-        cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(by)], strict=True))
-        columns = [[name] * len(own), own.astype(np.int32), [sigs[a:b].tobytes() for a, b in cuts], [place[a:b].tobytes() for a, b in cuts]]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _WINDOWS.types, strict=True)], schema=_WINDOWS)
+        return _packed_windows(folder, name, _around(at, _begins(_read_pieces(folder, name)), window), window, lots)
 
     dealt = places.select("slice", "at").repartition(lots, "slice")
-    return dealt.groupBy("slice").applyInArrow(cut, "slice long, lot int, sigs binary, places binary")
+    return dealt.groupBy("slice").applyInArrow(cut, "slice long, lot int, sigs binary, times binary, places binary")
 
 
-def repeated_starts(places: DataFrame, folder: str, window: int, lots: int) -> DataFrame:
-    """slice, starts: where repeated windows around hits (slice, at) begin, each window counted by itself.
+def repeated_starts(windows: DataFrame, lots: int) -> DataFrame:
+    """slice, starts: where repeated windows begin, each of the packed windows counted by itself.
 
-    All windows of a hash are in its lot, as 24 packed bytes each, and go back as 8 packed bytes in a row per
-    slice and lot: no row a window, and no join on a window that very many places have.
+    All windows of a hash are in its lot, as 20 packed bytes for each slice and 8 for each place, and go back
+    as 8 packed bytes in a row per slice and lot: no row a window, and no join on a window that very many
+    places have.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of: dict[int, list[tuple[int, bytes, bytes]]] = {}
+        of: dict[int, list[tuple[int, bytes, bytes, bytes]]] = {}
         for batch in batches:
             for name, lot, *data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 of.setdefault(lot, []).append((name, *data))
         for lot in list(of):
             rows = of.pop(lot)
-            sigs = np.concatenate([np.frombuffer(r[1], "<u8").reshape(-1, 2) for r in rows])
+            sigs = np.frombuffer(b"".join(r[1] for r in rows), "<u8").reshape(-1, 2)
+            repeated = np.frombuffer(b"".join(r[2] for r in rows), "<u4") > 1
             by = np.lexsort((sigs[:, 1], sigs[:, 0]))
             equal = (sigs[by[1:]] == sigs[by[:-1]]).all(axis=1)
-            repeated = np.zeros(len(sigs), bool)
             repeated[by[1:][equal]] = repeated[by[:-1][equal]] = True
             names, starts, end = [], [], 0
-            for name, _, packed in rows:
-                at = np.frombuffer(packed, "<i8")
-                begin, end = end, end + len(at)
-                at = at[repeated[begin:end]]
+            for name, _, times, packed in rows:
+                times, at = np.frombuffer(times, "<u4"), np.frombuffer(packed, "<i8")
+                begin, end = end, end + len(times)
+                at = at[np.repeat(repeated[begin:end], times)]
                 if len(at):
                     names.append(name)
                     starts.append(at.tobytes())
             if names:
                 yield pa.RecordBatch.from_pydict({"slice": names, "starts": starts}, schema=_STARTS)
 
-    windows = stage(window_hashes(places, folder, window, lots))
+    windows = windows.select("slice", "lot", "sigs", "times", "places")
     return windows.repartitionById(lots, F.col("lot")).mapInArrow(meet, "slice long, starts binary")
 
 
@@ -489,7 +541,8 @@ def single_windows(places: DataFrame, folder: str, window: int, lots: int) -> Da
                 columns = [np.full(len(at), name, np.int64), at, np.ones(len(at), np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slice", "at", "mask"])
 
-    return repeated_starts(places, folder, window, lots).mapInArrow(spread, "slice long, at long, mask long")
+    windows = stage(window_hashes(places, folder, window, lots))
+    return repeated_starts(windows, lots).mapInArrow(spread, "slice long, at long, mask long")
 
 
 def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: int = CAPACITY) -> DataFrame:
@@ -504,21 +557,14 @@ def repeats(documents: DataFrame, folder: str, window: int = WINDOW, capacity: i
     none = F.lit(None).cast("long")
     marks = packed.where("lot is null").select("slice", none.alias("at"), none.alias("mask"))
     marks = stage(marks)
-    found = stage(hits(packed, lots))
+    found = stage(hits(packed, lots, capacity))
     drop(packed)
-    placed = stage(contexts(found, folder, window, lots))
-    distinct = placed.groupBy("h", "cid").agg(
-        F.count("*").alias("n"), F.any_value("lead").alias("lead"), F.any_value("data", True).alias("data")
-    )
-    distinct = stage(distinct)
-    hot = stage(distinct.groupBy("h").count().where(F.col("count") > capacity).select("h"))
-    verdict = extend(distinct.join(hot, "h", "left_anti"), window)
+    told = stage(contexts(found, folder, window, lots))
+    placed = told.where("lot is null")
+    verdict = extend(placed.where("n is not null").select("h", "cid", "n", "lead", "data"), window)
     out = placed.select("slice", "at", "cid").join(verdict, "cid").select("slice", "at", "mask").unionByName(marks)
-    out = out.withColumn("starts", F.lit(None).cast("binary"))
-    if not hot.isEmpty():
-        singly = repeated_starts(placed.join(hot, "h", "left_semi"), folder, window, lots)
-        out = out.unionByName(singly.select("slice", none.alias("at"), none.alias("mask"), "starts"))
-    return out
+    singly = repeated_starts(told.where("lot is not null"), lots)
+    return out.unionByName(singly, allowMissingColumns=True)
 
 
 def _covered(n: int, at: np.ndarray, mask: np.ndarray, window: int) -> np.ndarray:

@@ -109,3 +109,31 @@ def test_hot_windows_go_back_packed(spark, monkeypatch, tmp_path):
     # no window of the passage is a row of its own: those are all of blocks with over two contexts
     assert told.agg(F.sum(F.octet_length("starts"))).first()[0] // 8 >= 80 * 26
     assert rows_of(passages.remove_repeated_windows(frame, 35, 2)) == repeated(texts, 35)
+
+
+@pytest.mark.parametrize("around", [20, 0])
+def test_hot_places_are_no_rows(spark, monkeypatch, tmp_path, around):
+    """No table has a row a place of a block at over ``capacity`` places, be the texts around it different or copies."""
+    stage, made = passages.stage, []
+    monkeypatch.setattr(passages, "stage", lambda frame: made.append(stage(frame)) or made[-1])
+    monkeypatch.setattr(passages, "SLICE_BYTES", 4_000)
+    rng = random.Random(13)
+    shared, twice = words(rng, 60), words(rng, 60)
+    texts = [f"{words(rng, around)} {shared} {words(rng, around)}" for _ in range(80)] + [twice, twice]
+    found = passages.repeats(docs_of(spark, *texts), tmp_path.as_uri(), 35, 10)
+    blocks = [t.where("h is not null").groupBy("h").count().agg(F.max("count")).first()[0] for t in made if "h" in t.columns]
+    assert blocks and max(blocks) <= 10
+    assert found.where("at is not null").count() == 2 * 3  # the blocks of the text that is there twice
+    assert rows_of(passages.remove_repeated_windows(docs_of(spark, *texts), 35, 10)) == repeated(texts, 35)
+
+
+def test_windows_of_a_slice_are_packed_once(spark, tmp_path):
+    """A window that a slice has many times is one hash with its number of places."""
+    text = words(random.Random(14), 40)
+    slices = passages.stage(passages.slices(docs_of(spark, *[text] * 50).coalesce(1), tmp_path.as_uri(), 35, 4)).where("lot is null")
+    places = slices.select("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1999).cast("long"), F.lit(40).cast("long"))).alias("at"))
+    packed = passages.window_hashes(places, tmp_path.as_uri(), 35, 4)
+    # at word 0 of each text only the window that begins there holds the block
+    assert [(len(r.sigs), r.times, len(r.places)) for r in packed.collect()] == [(16, (50).to_bytes(4, "little"), 400)]
+    found = passages.single_windows(places, tmp_path.as_uri(), 35, 4)
+    assert sorted(r.at for r in found.collect()) == list(range(0, 2000, 40))

@@ -193,7 +193,7 @@ def slices(documents: DataFrame, folder: str, window: int, lots: int) -> DataFra
             ends = np.append(at, len(keys))[1:]
             sigs, more, times = keys.astype("<u4"), times > 1, times.astype("<u4")
             packed = [
-                (int(lot), sigs[a:b].tobytes(), *(np.packbits(x[a:b]).tobytes() for x in (block, more)), times[a:b][more[a:b]].tobytes())
+                (int(lot), sigs[a:b].tobytes(), np.packbits(block[a:b]).tobytes(), np.packbits(more[a:b]).tobytes(), times[a:b][more[a:b]].tobytes())
                 for lot, a, b in zip(own.tolist(), at.tolist(), ends.tolist(), strict=True)
             ]
             columns = zip((None, b"", b"", b"", b""), *packed, strict=True)
@@ -237,7 +237,8 @@ def hits(packed: DataFrame, lots: int, capacity: int) -> DataFrame:
             sigs = [np.frombuffer(r[1], "<u4") for r in rows]
             block = np.concatenate([_bits(r[2], len(s)) for r, s in zip(rows, sigs, strict=True)])
             places = np.ones(len(block), np.uint32)
-            places[np.concatenate([_bits(r[3], len(s)) for r, s in zip(rows, sigs, strict=True)])] = np.frombuffer(b"".join(r[4] for r in rows), "<u4")
+            more = np.concatenate([_bits(r[3], len(s)) for r, s in zip(rows, sigs, strict=True)])
+            places[more] = np.frombuffer(b"".join(r[4] for r in rows), "<u4")
             _, group = np.unique(np.concatenate(sigs), return_inverse=True)
             times = np.bincount(group, places)
             hit = (times > 1) & (np.bincount(group, block) > 0)

@@ -160,12 +160,6 @@ def s5_range_scan(spark, sf_dir):
 @_query
 def s7_decode_envelopes(spark, sf_dir):
     decoded = SW.decoded_ok(SW.decode_envelopes(SW.encode_envelopes(_log(spark, sf_dir))))
-    def side(name: str):
-        return F.transform(
-            F.col(f"_row.{name}"),
-            lambda cell: F.struct(F.lit(name).alias("side"), cell.alias("cell")),
-        )
-
     rows = decoded.select(
         *PLACE, "entry_type", "batch_id", "in_id", "ip",
         F.col("header.table_name").alias("table_name"),
@@ -174,7 +168,19 @@ def s7_decode_envelopes(spark, sf_dir):
         F.col("row_change.event_type").alias("event_type"),
         F.posexplode_outer("row_change.row_datas").alias("row_no", "_row"),
     )
-    return rows.select(*rows.columns[:-1], F.inline_outer(F.concat(side("before"), side("after")))).select(
+    # The sides that have cells, so that no cell is copied into a list of both.
+    before, after = (
+        F.struct(F.lit(name).alias("side"), F.col(f"_row.{name}").alias("cells")) for name in ("before", "after")
+    )
+    some_before, some_after = F.size("_row.before") > 0, F.size("_row.after") > 0
+    sides = (
+        F.when(some_before & some_after, F.array(before, after))
+        .when(some_before, F.array(before)).when(some_after, F.array(after))
+    )
+    rows = rows.select(*rows.columns[:-1], F.explode_outer(sides).alias("_side"))
+    return rows.select(
+        *rows.columns[:-1], F.col("_side.side").alias("side"), F.explode_outer("_side.cells").alias("cell")
+    ).select(
         *rows.columns[:-1], "side", F.col("cell.name").alias("name"),
         F.col("cell.value").alias("value"), F.col("cell.is_null").alias("is_null"),
         F.col("cell.is_key").alias("is_key"), F.col("cell.updated").alias("updated"),

@@ -45,6 +45,22 @@ _LAYOUT = {
 _ENUMS = {"EntryType": ENTRY_TYPES, "EventType": EVENT_TYPES, "Type": SOURCE_TYPES}
 
 
+@cache
+def layout(name: str) -> list[tuple[int, str, str, int]]:
+    """Number, name, kind and default of the fields of a message, by number."""
+    fields = []
+    for line in _LAYOUT[name]:
+        number, label, kind, *default = line.split()
+        names, default = enum_names(kind), default[0] if default else "0"
+        fields.append((int(number), label, kind, names.index(default) + 1 if names else int(default.replace("false", "0"))))
+    return sorted(fields)
+
+
+def enum_names(kind: str) -> tuple[str, ...]:
+    """Names of an enum from number one on; none for other kinds."""
+    return _ENUMS.get(kind, ())
+
+
 @cache
 def _file():
     from google.protobuf import descriptor_pb2

@@ -1,7 +1,8 @@
 """Tables of message bytes to typed rows and back.
 
 Decoding is a narrow step: Spark hands each task Arrow batches of messages. A message that does
-not decode keeps its source columns, has null fields and the reason in ``decode_error``.
+not decode keeps its source columns, has null fields and the reason in ``decode_error``. Envelopes
+are converted field by field over a batch; the row functions here are for those that are not.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from operator import attrgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +21,12 @@ from rowtide.functions.arrow_rows import to_column, to_rows
 from rowtide.functions.avro_bytes import record_bytes
 from rowtide.functions.record_codec import RECORD_AVRO_SCHEMA, decode_record
 from rowtide.schemas import ENVELOPE_BODY, RECORD_BODY, RECORD_FIELDS
+from rowtide.sources import envelope_columns
+from rowtide.sources.envelope_columns import CELL, HEADER
 
 DECODE_ERROR = "decode_error"
+# Of a batch, converted at once.
+_PART_BYTES = 4_000_000
 
 
 def decode_envelopes(messages: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
@@ -29,7 +35,7 @@ def decode_envelopes(messages: DataFrame, value: str = "value", strict: bool = F
     Unset fields read as their defaults: UPDATE, ROWDATA, 0, empty text. ``strict`` fails the
     job on bytes that do not decode.
     """
-    return _decoded(messages, value, ENVELOPE_BODY, _envelope_of, strict)
+    return _decoded(messages, value, ENVELOPE_BODY, _envelope_of, strict, envelope_columns.decode)
 
 
 def decode_records(messages: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
@@ -62,7 +68,7 @@ def encode_records(records: DataFrame) -> DataFrame:
 
 def encode_envelopes(envelopes: DataFrame) -> DataFrame:
     """Replace the envelope columns by ``value``, the message bytes; source columns stay."""
-    return _encoded(envelopes, ENVELOPE_BODY.names, _envelope_bytes)
+    return _encoded(envelopes, ENVELOPE_BODY.names, _envelope_bytes, envelope_columns.encode)
 
 
 def decoded_ok(decoded: DataFrame) -> DataFrame:
@@ -89,7 +95,9 @@ def _decoded(
     body: T.StructType,
     decode: Callable[[bytes], dict],
     strict: bool,
+    decode_batch: Callable[[pa.Array], tuple[list[pa.Array], np.ndarray]] | None = None,
 ) -> DataFrame:
+    """``decode_batch`` gives the columns and the rows that ``decode`` has to read instead."""
     kept = [c for c in messages.columns if c != value]
     body_arrow = to_arrow_schema(body)
     schema = T.StructType(
@@ -98,56 +106,76 @@ def _decoded(
         + [T.StructField(DECODE_ERROR, T.StringType())]
     )
 
+    def by_row(values: pa.Array) -> list[pa.Array]:
+        rows, errors = [], []
+        for data in values.to_pylist():
+            try:
+                rows.append(decode(data if data is not None else b""))
+                errors.append(None)
+            except Exception as error:
+                if strict:
+                    raise
+                rows.append({})
+                errors.append(f"{type(error).__name__}: {error}")
+        columns = [to_column([row.get(f.name) for row in rows], f.type) for f in body_arrow]
+        return [*columns, pa.array(errors, pa.string())]
+
+    def together(values: pa.Array) -> list[pa.Array]:
+        if decode_batch is None or not pa.types.is_binary(values.type):
+            return by_row(values)
+        columns, odd = decode_batch(values)
+        columns = [*columns, pa.nulls(len(values), pa.string())]
+        if odd.any():
+            place = np.arange(len(values))
+            place[odd] = len(values) + np.arange(odd.sum())
+            rest = by_row(values.filter(pa.array(odd)))
+            columns = [pa.concat_arrays(pair).take(pa.array(place)) for pair in zip(columns, rest, strict=True)]
+        return columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, errors = [], []
-            for data in batch.column(value).to_pylist():
-                try:
-                    rows.append(decode(data if data is not None else b""))
-                    errors.append(None)
-                except Exception as error:
-                    if strict:
-                        raise
-                    rows.append({})
-                    errors.append(f"{type(error).__name__}: {error}")
-            columns = [batch.column(c) for c in kept]
-            columns += [
-                to_column([row.get(f.name) for row in rows], f.type) for f in body_arrow
-            ]
-            columns.append(pa.array(errors, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for part in _parts(batch):
+                columns = [part.column(c) for c in kept] + together(part.column(value))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return messages.select(*kept, value).mapInArrow(run, schema)
 
 
-def _encoded(df: DataFrame, fields, encode: Callable[[dict], bytes]) -> DataFrame:
+def _encoded(
+    df: DataFrame,
+    fields,
+    encode: Callable[[dict], bytes],
+    encode_batch: Callable[[dict[str, pa.Array]], pa.Array],
+) -> DataFrame:
+    """``encode`` writes the rows of a batch that ``encode_batch`` does not."""
     fields = list(fields)
     kept = [c for c in df.columns if c not in fields]
     schema = T.StructType(
         [df.schema[c] for c in kept] + [T.StructField("value", T.BinaryType())]
     )
 
+    def together(columns: dict[str, pa.Array]) -> pa.Array:
+        try:
+            return encode_batch(columns)
+        except pa.ArrowException:
+            rows = zip(*map(to_rows, columns.values()), strict=True)
+            return pa.array([encode(dict(zip(fields, row, strict=True))) for row in rows], pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*[to_rows(batch.column(c)) for c in fields], strict=True)
-            values = [encode(dict(zip(fields, row, strict=True))) for row in rows]
-            columns = [batch.column(c) for c in kept] + [pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for part in _parts(batch):
+                values = together({c: part.column(c) for c in fields})
+                columns = [part.column(c) for c in kept] + [values]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.select(*kept, *fields).mapInArrow(run, schema)
 
 
-# Typed column name -> message field, for the parts that map one to one.
-_HEADER = {
-    "version": "version", "logfile_name": "logfileName", "logfile_offset": "logfileOffset",
-    "server_id": "serverId", "server_encode": "serverenCode", "execute_time": "executeTime",
-    "schema_name": "schemaName", "table_name": "tableName", "event_length": "eventLength",
-}
-_CELL = {
-    "idx": "index", "sql_type": "sqlType", "name": "name", "is_key": "isKey",
-    "updated": "updated", "is_null": "isNull", "value": "value", "length": "length",
-    "mysql_type": "mysqlType",
-}
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about so many bytes, which bounds what a part's numbers take."""
+    rows = max(1, batch.num_rows * _PART_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def _enum_name(message, field: str) -> str:
@@ -167,17 +195,17 @@ def _parse(name: str, data: bytes):
     return message
 
 
-_CELL_VALUES = attrgetter(*_CELL.values())
+_CELL_VALUES = attrgetter(*CELL.values())
 
 
 def _cells_of(columns) -> list[dict]:
-    return [dict(zip(_CELL, _CELL_VALUES(column))) for column in columns]
+    return [dict(zip(CELL, _CELL_VALUES(column))) for column in columns]
 
 
 def _envelope_of(data: bytes) -> dict:
     entry = _parse("Entry", data)
     kind = _enum_name(entry, "entryType")
-    header = {k: getattr(entry.header, f) for k, f in _HEADER.items()}
+    header = {k: getattr(entry.header, f) for k, f in HEADER.items()}
     header["source_type"] = _enum_name(entry.header, "sourceType")
     header["event_type"] = _enum_name(entry.header, "eventType")
     header["props"] = _pairs(entry.header)
@@ -244,7 +272,7 @@ def _envelope_bytes(row: dict) -> bytes:
     _put_enum(entry, "entryType", row["entry_type"])
     _fill(entry, row, {"batch_id": "batchId", "in_id": "inId", "ip": "ip"})
     if row["header"] is not None:
-        _fill(entry.header, row["header"], _HEADER)
+        _fill(entry.header, row["header"], HEADER)
         _put_enum(entry.header, "sourceType", row["header"]["source_type"])
         _put_enum(entry.header, "eventType", row["header"]["event_type"])
         _put_pairs(entry.header, row["header"]["props"])
@@ -264,7 +292,7 @@ def _envelope_bytes(row: dict) -> bytes:
             added = change.rowDatas.add()
             for side, columns in (("before", added.beforeColumns), ("after", added.afterColumns)):
                 for cell in row_data[side] or []:
-                    columns.add(**{field: cell[k] for k, field in _CELL.items() if cell[k] is not None})
+                    columns.add(**{field: cell[k] for k, field in CELL.items() if cell[k] is not None})
         entry.storeValue = change.SerializeToString()
     elif kind == "TRANSACTIONBEGIN" and row["tx_begin"] is not None:
         begin = message_class("TransactionBegin")()

@@ -172,8 +172,8 @@ def _encoded(
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The rows in parts of about so many bytes, which bounds what a part's numbers take."""
-    rows = max(1, batch.num_rows * _PART_BYTES // max(1, batch.nbytes))
+    """The rows in even parts of so many bytes at most, which bounds what a part's numbers take."""
+    rows = max(1, batch.num_rows // -(-max(1, batch.nbytes) // _PART_BYTES))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
